@@ -258,6 +258,66 @@ def q_lookback_since(spark, d):
     return ingest.lookback_since(s, LOOKBACK_SINCE).select("reading_id", "station_reference", "date_time_utc", "value")
 
 
+def q_flatten_payload(spark, d):
+    from gaugeflow.sources import payloads
+
+    text = payloads.reading_payload_text(derived.load(spark, d, "events"))
+    return payloads.flatten_readings(payloads.parse_reading_payloads(text))
+
+
+DISCOVER_SEARCH = "00000001"
+
+
+def q_discover_stations(spark, d):
+    from gaugeflow.sources import payloads
+
+    text = payloads.station_payload_text(derived.load(spark, d, "supplier"))
+    return payloads.discover_stations(payloads.parse_station_payloads(text), search=DISCOVER_SEARCH)
+
+
+def q_drifted_scan(spark, d):
+    from gaugeflow.sources import bronze as bronze_src
+
+    root = bronze_src.scratch_path(spark, "drifted")
+    bronze_src.write_drifted(derived.bronze(spark, d), root)
+    b = bronze_src.read_bronze(spark, root)
+    return b.select("reading_id", to_ntz("_ingested_at").alias("ingested_at"), try_double("value").alias("value"))
+
+
+def _land_bronze_files(spark, d, root):
+    """Bronze landed as several files per reading date (copies of one key
+    may sit in different files, hence in different micro-batches)."""
+    b = derived.bronze(spark, d).withColumn("dt", ingest.reading_date())
+    b.repartition(4).write.partitionBy("dt").parquet(root)
+
+
+def _stream_silver_folder(spark, d):
+    from gaugeflow.sources.bronze import scratch_path
+    from gaugeflow.streaming import silver_stream
+
+    base = scratch_path(spark, "stream")
+    _land_bronze_files(spark, d, f"{base}/bronze")
+    q = silver_stream.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/_chk_silver", max_files=48)
+    q.awaitTermination()
+    return base
+
+
+def q_stream_silver(spark, d):
+    from gaugeflow.streaming import silver_stream
+
+    base = _stream_silver_folder(spark, d)
+    return silver_stream.read_silver(spark, f"{base}/silver")
+
+
+def q_stream_latest(spark, d):
+    from gaugeflow.streaming import silver_stream
+
+    base = _stream_silver_folder(spark, d)
+    q = silver_stream.start_latest(spark, f"{base}/silver", f"{base}/latest", f"{base}/_chk_latest")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/latest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -296,4 +356,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness": q_freshness,
     "newest_n_per_station": q_newest_n_per_station,
     "lookback_since": q_lookback_since,
+    "flatten_payload": q_flatten_payload,
+    "discover_stations": q_discover_stations,
+    "drifted_scan": q_drifted_scan,
+    "stream_silver": q_stream_silver,
+    "stream_latest": q_stream_latest,
 }

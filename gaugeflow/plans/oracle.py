@@ -356,6 +356,45 @@ _q(
     """SELECT reading_id, station_reference, date_time_utc, value FROM silver
        WHERE date_time_utc > CAST('2024-01-29T18:00:00Z' AS TIMESTAMP)""",
 )
+_q(
+    "flatten_payload",
+    """, fp AS (
+       SELECT 'user-' || CAST(user_id AS VARCHAR)
+           || CASE WHEN user_id % 15 = 0 THEN '-' || strftime(ts, '%Y-%m-%d') ELSE '' END AS measure,
+         CAST(user_id AS VARCHAR) AS station_reference,
+         CASE WHEN event_id % 3 = 0 OR event_id % 11 = 0 THEN NULL ELSE 'Station ' || CAST(user_id AS VARCHAR) END
+           AS station_label,
+         CASE WHEN event_id % 3 = 0 THEN NULL
+              ELSE CASE event_type WHEN 'error' THEN 'flow' WHEN 'signup' THEN 'rainfall' ELSE 'level' END END
+           AS parameter,
+         CASE WHEN event_id % 3 = 0 THEN NULL
+              WHEN event_id % 10 = 0 THEN 'Downstream Stage' ELSE 'Stage' END AS qualifier,
+         CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'm' END AS unit_name,
+         CASE WHEN event_id % 101 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS date_time,
+         CASE WHEN event_id % 97 = 0 THEN NULL ELSE value END AS value
+       FROM events)
+     SELECT md5(coalesce(measure, 'None') || '|' || coalesce(date_time, 'None')) AS reading_id, * FROM fp""",
+)
+_q(
+    "discover_stations",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS station_reference, s_name AS station_label,
+       'Nation ' || CAST(s_nationkey AS VARCHAR) AS river_name,
+       'Town ' || CAST(s_nationkey % 7 AS VARCHAR) AS town,
+       s_acctbal / 100.0 AS lat, CAST(s_nationkey AS DOUBLE) / 10.0 AS long, 'Active' AS status,
+       CASE WHEN s_suppkey % 5 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN CAST(s_suppkey AS DOUBLE) / 10.0 END
+         AS typical_range_high
+     FROM supplier WHERE contains(s_name, '00000001')""",
+)
+_q(
+    "drifted_scan",
+    "SELECT reading_id, CAST(_ingested_at AS TIMESTAMP) AS ingested_at, TRY_CAST(value AS DOUBLE) AS value FROM bronze",
+)
+_q("stream_silver", "SELECT * FROM silver")
+_q(
+    "stream_latest",
+    """SELECT measure, reading_id, station_reference, date_time_utc AS latest_at, value AS latest_value
+       FROM latest_rows""",
+)
 
 
 def oracle_sql() -> dict[str, str]:
