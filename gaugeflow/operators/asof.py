@@ -10,7 +10,8 @@ desc limit 1``) decorrelates into several exchanges. This rewrite is:
 2. join each row to its key's cutoff — the cutoff side has one row per key;
    AQE broadcasts it when its measured size is small and otherwise splits
    skewed partitions of the row side;
-3. newest row at or before the cutoff — again a map-side-combined aggregate.
+3. newest row at or before the cutoff — again a map-side-combined aggregate,
+   which also carries the newest row's columns, so nothing is joined back.
 
 No window over a key is used, so no task must hold all rows of a key.
 """
@@ -44,19 +45,28 @@ def asof_lag(
     """One row per key: the newest row (``cols``) plus ``out_col``, the newest
     ``value`` with ``ts <= newest ts - lag`` (null when there is none; with a
     ``tolerance`` the candidate must also be no older than ``cutoff - tolerance``).
+
+    The newest row's columns travel with its cutoff through the join, so a
+    single aggregate yields the whole result (no join back).
     """
     key = [key] if isinstance(key, str) else list(key)
     tie = tie or ts
     cols = list(cols) if cols is not None else df.columns
     if ts not in cols:
         cols.append(ts)
+    keep = [c for c in cols if c not in key]
     latest = latest_per_key(df, key, ts, tie, cols)
-    cut = latest.select(*key, (F.col(ts) - F.expr(f"INTERVAL {lag}")).alias("_cut"))
+    anchor = latest.select(
+        *key,
+        *[F.col(c).alias(f"_l_{c}") for c in keep],
+        (F.col(ts) - F.expr(f"INTERVAL {lag}")).alias("_cut"),
+    )
     cond = F.col(ts) <= F.col("_cut")
     if tolerance:
         cond = cond & (F.col(ts) >= F.col("_cut") - F.expr(f"INTERVAL {tolerance}"))
-    cands = df.select(*key, ts, tie, value).join(cut, key, "inner").where(cond)
-    lagged = cands.groupBy(*key).agg(
-        F.max_by(F.col(value), F.struct(F.col(ts), F.col(tie))).alias(out_col)
+    joined = df.select(*key, ts, tie, value).join(anchor, key, "inner")
+    return joined.groupBy(*key).agg(
+        *[F.any_value(f"_l_{c}").alias(c) for c in keep],
+        # max_by skips rows whose ordering is null: only candidates count.
+        F.max_by(F.when(cond, F.col(value)), F.when(cond, F.struct(F.col(ts), F.col(tie)))).alias(out_col),
     )
-    return latest.join(lagged, key, "left")
