@@ -15,6 +15,7 @@ from gaugeflow.functions.timefns import to_ntz
 from gaugeflow.functions.values import try_double
 from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver, trace
 from gaugeflow.operators.asof import asof_lag
+from gaugeflow.session import materialize as materialize_table
 from gaugeflow.sources import derived
 
 # FIXED VALUES: clocks and parameters of the registered queries.
@@ -36,12 +37,20 @@ class Layers:
     latest: DataFrame
 
 
-def layers(spark: SparkSession, sf_dir: str) -> Layers:
+def layers(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Layers:
+    """The layers of one run. With ``materialize`` (queries that read silver
+    and gold several times) silver and the latest table are written once as
+    Parquet to the shared checkpoint folder and read back, which also cuts
+    their lineage: a lost executor recomputes from those files."""
     b = derived.bronze(spark, sf_dir)
     dim = derived.stations(spark, sf_dir)
     s = silver.build_silver(b, with_build_stamp=False)
+    if materialize:
+        s = materialize_table(s, "silver")
     series = gold.gold_series(s, AS_OF_SERIES)
     latest = gold.gold_latest(s, dim)
+    if materialize:
+        latest = materialize_table(latest, "gold_latest")
     return Layers(b, dim, s, series, latest)
 
 
@@ -172,7 +181,7 @@ def q_series_extent(spark, d):
 
 
 def q_slider_bounds(spark, d):
-    L = layers(spark, d)
+    L = layers(spark, d, materialize=True)
     return metrics.slider_bounds(metrics.series_extent(L.series), metrics.thresholds_by_station(L.latest))
 
 
@@ -184,8 +193,8 @@ def q_primary_series(spark, d):
     return metrics.primary_series(layers(spark, d).series, PRIMARY_STATION)
 
 
-def _dq(spark, d):
-    L = layers(spark, d)
+def _dq(spark, d, L: Layers | None = None):
+    L = L or layers(spark, d, materialize=True)
     tables = {"silver": L.silver, "gold_series": L.series, "gold_station_latest": L.latest, "dim_stations": L.dim}
     return checks.run_checks(tables)
 
@@ -222,8 +231,8 @@ def q_rows_per_day(spark, d):
 
 
 def q_run_metadata(spark, d):
-    L = layers(spark, d)
-    summary = checks.summarize(_dq(spark, d))
+    L = layers(spark, d, materialize=True)
+    summary = checks.summarize(_dq(spark, d, L))
     counts = L.silver.agg(F.count(F.lit(1)).alias("silver_rows"))
     head = metrics.headline_counts(L.latest)
     ingest_meta = L.bronze.agg(
@@ -318,6 +327,32 @@ def q_stream_latest(spark, d):
     return spark.read.parquet(f"{base}/latest")
 
 
+def q_landed_bronze_days(spark, d):
+    """Bronze landed in two runs (reading-date layout), compacted, read back:
+    rows per date and batch. Every copy survives landing and compaction."""
+    from gaugeflow.sinks.landing import compact_bronze, land_bronze
+    from gaugeflow.sources.bronze import scratch_path
+
+    base = scratch_path(spark, "landing")
+    b = derived.bronze(spark, d).drop("_ingested_at", "_source_batch_id")
+    early = F.substring("reading_id", 1, 1) < "8"
+    land_bronze(b.where(early), f"{base}/bronze", "2024-02-01T00:00:00Z")
+    land_bronze(b.where(~early), f"{base}/bronze", "2024-02-01T03:00:00Z")
+    c = compact_bronze(spark, f"{base}/bronze", f"{base}/compacted")
+    return c.groupBy("dt", "batch").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_lineage_lookup(spark, d):
+    """Lineage written in a key-prefix layout, then every plotted key looked up."""
+    from gaugeflow.sinks.landing import write_lookup_table
+    from gaugeflow.sources.bronze import scratch_path
+
+    L = layers(spark, d, materialize=True)
+    path = scratch_path(spark, "lineage")
+    write_lookup_table(lineage.lineage_flat(L.bronze, L.silver, L.series), path)
+    return spark.read.parquet(path).drop("key_prefix")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -361,4 +396,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drifted_scan": q_drifted_scan,
     "stream_silver": q_stream_silver,
     "stream_latest": q_stream_latest,
+    "landed_bronze_days": q_landed_bronze_days,
+    "lineage_lookup": q_lineage_lookup,
 }

@@ -395,6 +395,15 @@ _q(
     """SELECT measure, reading_id, station_reference, date_time_utc AS latest_at, value AS latest_value
        FROM latest_rows""",
 )
+_q(
+    "landed_bronze_days",
+    """SELECT CAST(CAST(date_time AS TIMESTAMP) AS DATE) AS dt,
+       CASE WHEN substr(reading_id, 1, 1) < '8' THEN 'batch_20240201T000000Z' ELSE 'batch_20240201T030000Z' END
+         AS batch,
+       count(*) AS rows
+     FROM bronze GROUP BY 1, 2""",
+)
+_q("lineage_lookup", LINEAGE_FLAT)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="gaugeflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder inside the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/gaugeflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes from these files, not from
+    the sources) and lets several consumers share one computation. Preferred
+    to ``Dataset.checkpoint``, which computes an unpersisted plan twice and
+    stores Java-serialised rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -11,7 +11,6 @@ the groups are combined with ``unionByName(allowMissingColumns=True)``.
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 import pandas as pd
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.schemas import BRONZE
-from gaugeflow.session import checkpoint_dir
+from gaugeflow.session import scratch_path  # noqa: F401 - re-exported
 
 _FOOTER_SCHEMA = "path string, signature string"
 
@@ -84,11 +83,6 @@ def read_bronze(spark: SparkSession, root: str, with_file: bool = False) -> Data
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder inside the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/gaugeflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def write_drifted(bronze: DataFrame, root: str) -> None:
     """Land bronze rows as three kinds of file: ``value`` as double where it
     parses, as text where it does not, and without the column where null."""

@@ -59,9 +59,11 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         .when(eid % TEXT_VALUE_MOD == 0, F.lit("n/a"))
         .otherwise(F.col("value").cast("string"))
     )
-    copy_ids = F.filter(
-        F.array(F.lit(1), F.lit(2), F.lit(3)),
-        lambda k: (k == 1) | ((k == 2) & (eid % SECOND_COPY_MOD == 0)) | ((k == 3) & (eid % THIRD_COPY_MOD == 0)),
+    # Copy numbers of each event (a third copy implies a second: 21 = 3 * 7).
+    copy_ids = (
+        F.when(eid % THIRD_COPY_MOD == 0, F.array(F.lit(1), F.lit(2), F.lit(3)))
+        .when(eid % SECOND_COPY_MOD == 0, F.array(F.lit(1), F.lit(2)))
+        .otherwise(F.array(F.lit(1)))
     )
     base = events.select(
         eid,
@@ -72,7 +74,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         _parameter(F.col("event_type")).alias("parameter"),
         F.when(eid % DOWNSTREAM_MOD == 0, F.lit("Downstream Stage")).otherwise(F.lit("Stage")).alias("qualifier"),
         first_value.alias("first_value"),
-        (F.col("value") + F.lit(SECOND_COPY_BUMP)).cast("string").alias("second_value"),
+        "value",
         F.explode(copy_ids).alias("copy"),
     )
     k = F.col("copy")
@@ -87,7 +89,9 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         "qualifier",
         F.lit("m").alias("unit_name"),
         "date_time",
-        F.when(k == 2, F.col("second_value")).otherwise(F.col("first_value")).alias("value"),
+        F.when(k == 2, (F.col("value") + F.lit(SECOND_COPY_BUMP)).cast("string"))
+        .otherwise(F.col("first_value"))
+        .alias("value"),
         ingested.alias("_ingested_at"),
         ingested.alias("_source_batch_id"),
     )

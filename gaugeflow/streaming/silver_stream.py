@@ -18,6 +18,7 @@ from gaugeflow.functions.values import quality_flag
 from gaugeflow.operators.gold import stage_rows
 from gaugeflow.operators.silver import SILVER_COLUMNS, dedupe_keep_latest_agg, typed_readings
 from gaugeflow.schemas import BRONZE, SILVER
+from gaugeflow.session import materialize
 from gaugeflow.sources.meta import path_exists
 
 SILVER_STORED = SILVER_COLUMNS + ("reading_date",)
@@ -36,7 +37,7 @@ def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str)
         "quality_flag", quality_flag("value")
     )
     # Materialise before overwriting partitions that the plan reads from.
-    out = out.checkpoint(eager=True)
+    out = materialize(out, "silver-merge")
     (
         out.select(*SILVER_STORED)
         .write.mode("overwrite")
@@ -55,9 +56,6 @@ def _stored_schema():
 
 def start_silver(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str, max_files: int | None = None):
     """Stream bronze Parquet files into silver; returns the ``StreamingQuery``."""
-    from gaugeflow.session import checkpoint_dir
-
-    checkpoint_dir(spark)  # the merge cuts lineage with checkpoint()
     r = spark.readStream.schema(BRONZE)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
