@@ -99,3 +99,8 @@ def gold_latest(silver: DataFrame, dim: DataFrame, lag: str = ASOF_LAG, toleranc
         "threshold",
         (F.col("value") > F.col("threshold")).alias("above_threshold"),
     )
+
+
+def ordered_series(series: DataFrame) -> DataFrame:
+    """Series by time (ties by key) — a global sort, for rendering a bounded window."""
+    return series.orderBy(F.col("date_time_utc").asc_nulls_last(), F.col("reading_id").asc_nulls_last())

@@ -130,3 +130,21 @@ def health(meta: DataFrame, now: datetime | None = None) -> DataFrame:
         stale.alias("stale"),
         F.when(stale, F.lit("stale")).otherwise(F.lit("last-known-good")).alias("health_status"),
     )
+
+
+def heartbeat_health(spark, heartbeat_path: str, now: datetime | None = None) -> DataFrame:
+    """Staleness of the landing heartbeat document; a missing heartbeat
+    reads as unknown age (not stale), like a missing run time."""
+    from pyspark.sql import types as T
+
+    from gaugeflow.sources.meta import read_json_or_nulls
+
+    schema = T.StructType(
+        [
+            T.StructField("last_ingest_utc", T.StringType()),
+            T.StructField("rows", T.LongType()),
+            T.StructField("blob", T.StringType()),
+        ]
+    )
+    hb = read_json_or_nulls(spark, heartbeat_path, schema).withColumnRenamed("last_ingest_utc", "last_run_utc")
+    return health(hb, now)

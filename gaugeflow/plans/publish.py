@@ -38,6 +38,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
+    """Whole content of a small text file (None when it does not exist)."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return None
@@ -45,7 +46,12 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     stream = fs.open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
     finally:
         stream.close()
 

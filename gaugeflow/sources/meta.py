@@ -33,10 +33,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.getFileStatus(p).isDirectory())
+
+
 def read_json_or_nulls(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if path_exists(spark, path):
+    """A folder of JSON files is read by Spark; a single small document (whose
+    name may start with ``_``, which file listings skip) is read as text and
+    parsed with ``from_json``; a missing path gives one row of nulls."""
+    from pyspark.sql import functions as F
+
+    if not path_exists(spark, path):
+        return spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
+    if _is_dir(spark, path):
         return spark.read.schema(schema).option("multiLine", "true").json(path)
-    return spark.createDataFrame([tuple(None for _ in schema.fields)], schema)
+    from gaugeflow.plans.publish import read_text
+
+    text = read_text(spark, path) or ""
+    return spark.range(1).select(F.from_json(F.lit(text), schema).alias("d")).select("d.*")
 
 
 def read_test_results(spark: SparkSession, path: str) -> DataFrame:
