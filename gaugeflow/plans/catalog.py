@@ -37,11 +37,17 @@ class Layers:
     latest: DataFrame
 
 
-def layers(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Layers:
-    """The layers of one run. With ``materialize`` (queries that read silver
-    and gold several times) silver and the latest table are written once as
-    Parquet to the shared checkpoint folder and read back, which also cuts
-    their lineage: a lost executor recomputes from those files."""
+def layers(spark: SparkSession, sf_dir: str, materialize: bool = True, materialize_latest: bool = False) -> Layers:
+    """The layers of one run.
+
+    Silver is written once as Parquet to the shared checkpoint folder and
+    read back (``materialize``), as a medallion build does: consumers that
+    read it more than once (the as-of reads it twice, lineage and checks
+    several times) then scan columnar files with the stage filter pushed
+    down instead of recomputing the dedupe from bronze per branch, and the
+    lineage is cut there (a lost executor recomputes from those files).
+    Queries that read silver once pass ``materialize=False``. The latest
+    table is also written when several consumers read it."""
     b = derived.bronze(spark, sf_dir)
     dim = derived.stations(spark, sf_dir)
     s = silver.build_silver(b, with_build_stamp=False)
@@ -49,7 +55,7 @@ def layers(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Layer
         s = materialize_table(s, "silver")
     series = gold.gold_series(s, AS_OF_SERIES)
     latest = gold.gold_latest(s, dim)
-    if materialize:
+    if materialize_latest:
         latest = materialize_table(latest, "gold_latest")
     return Layers(b, dim, s, series, latest)
 
@@ -64,11 +70,11 @@ def q_bronze_copies(spark, d):
 
 
 def q_silver_readings(spark, d):
-    return layers(spark, d).silver
+    return layers(spark, d, materialize=False).silver
 
 
 def q_silver_flag_counts(spark, d):
-    return layers(spark, d).silver.groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
+    return layers(spark, d, materialize=False).silver.groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _dedupe(method):
@@ -96,7 +102,7 @@ def q_try_cast_values(spark, d):
 
 
 def q_gold_series_30d(spark, d):
-    return layers(spark, d).series
+    return layers(spark, d, materialize=False).series
 
 
 def q_gold_station_latest(spark, d):
@@ -138,7 +144,7 @@ def q_semi_silver_in_gold(spark, d):
 
 
 def q_semi_bronze_in_gold(spark, d):
-    L = layers(spark, d)
+    L = layers(spark, d, materialize=False)
     return lineage.bronze_copy_rows(lineage.semi_in(L.bronze, L.series))
 
 
@@ -177,16 +183,16 @@ def q_forecast_guard(spark, d):
 
 
 def q_series_extent(spark, d):
-    return metrics.series_extent(layers(spark, d).series)
+    return metrics.series_extent(layers(spark, d, materialize=False).series)
 
 
 def q_slider_bounds(spark, d):
-    L = layers(spark, d, materialize=True)
+    L = layers(spark, d, materialize_latest=True)
     return metrics.slider_bounds(metrics.series_extent(L.series), metrics.thresholds_by_station(L.latest))
 
 
 def q_reflag_threshold(spark, d):
-    return metrics.reflag(layers(spark, d).series, REFLAG_THRESHOLD)
+    return metrics.reflag(layers(spark, d, materialize=False).series, REFLAG_THRESHOLD)
 
 
 def q_primary_series(spark, d):
@@ -194,7 +200,7 @@ def q_primary_series(spark, d):
 
 
 def _dq(spark, d, L: Layers | None = None):
-    L = L or layers(spark, d, materialize=True)
+    L = L or layers(spark, d, materialize_latest=True)
     tables = {"silver": L.silver, "gold_series": L.series, "gold_station_latest": L.latest, "dim_stations": L.dim}
     return checks.run_checks(tables)
 
@@ -208,7 +214,7 @@ def q_dq_summary(spark, d):
 
 
 def q_orphan_stations(spark, d):
-    L = layers(spark, d)
+    L = layers(spark, d, materialize=False)
     return (
         L.silver.where(F.col("station_reference").isNotNull())
         .join(L.dim.select("station_reference"), "station_reference", "left_anti")
@@ -231,7 +237,7 @@ def q_rows_per_day(spark, d):
 
 
 def q_run_metadata(spark, d):
-    L = layers(spark, d, materialize=True)
+    L = layers(spark, d, materialize_latest=True)
     summary = checks.summarize(_dq(spark, d, L))
     counts = L.silver.agg(F.count(F.lit(1)).alias("silver_rows"))
     head = metrics.headline_counts(L.latest)
@@ -254,16 +260,16 @@ def q_run_metadata(spark, d):
 
 
 def q_freshness(spark, d):
-    return metrics.freshness(layers(spark, d).silver, "date_time_utc", AS_OF_FRESHNESS, group="station_reference")
+    return metrics.freshness(layers(spark, d, materialize=False).silver, "date_time_utc", AS_OF_FRESHNESS, group="station_reference")
 
 
 def q_newest_n_per_station(spark, d):
-    s = layers(spark, d).silver
+    s = layers(spark, d, materialize=False).silver
     return ingest.newest_n(s, NEWEST_N).select("station_reference", "reading_id", "date_time_utc", "rank")
 
 
 def q_lookback_since(spark, d):
-    s = layers(spark, d).silver
+    s = layers(spark, d, materialize=False).silver
     return ingest.lookback_since(s, LOOKBACK_SINCE).select("reading_id", "station_reference", "date_time_utc", "value")
 
 
@@ -347,7 +353,7 @@ def q_lineage_lookup(spark, d):
     from gaugeflow.sinks.landing import write_lookup_table
     from gaugeflow.sources.bronze import scratch_path
 
-    L = layers(spark, d, materialize=True)
+    L = layers(spark, d, materialize_latest=True)
     path = scratch_path(spark, "lineage")
     write_lookup_table(lineage.lineage_flat(L.bronze, L.silver, L.series), path)
     return spark.read.parquet(path).drop("key_prefix")
