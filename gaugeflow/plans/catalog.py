@@ -16,6 +16,7 @@ from gaugeflow.functions.values import try_double
 from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver, trace
 from gaugeflow.operators.asof import asof_lag
 from gaugeflow.session import materialize as materialize_table
+from gaugeflow.session import scratch_path
 from gaugeflow.sources import derived
 
 # FIXED VALUES: clocks and parameters of the registered queries.
@@ -293,7 +294,7 @@ def q_discover_stations(spark, d):
 def q_drifted_scan(spark, d):
     from gaugeflow.sources import bronze as bronze_src
 
-    root = bronze_src.scratch_path(spark, "drifted")
+    root = scratch_path(spark, "drifted")
     bronze_src.write_drifted(derived.bronze(spark, d), root)
     b = bronze_src.read_bronze(spark, root)
     return b.select("reading_id", to_ntz("_ingested_at").alias("ingested_at"), try_double("value").alias("value"))
@@ -307,7 +308,6 @@ def _land_bronze_files(spark, d, root):
 
 
 def _stream_silver_folder(spark, d):
-    from gaugeflow.sources.bronze import scratch_path
     from gaugeflow.streaming import silver_stream
 
     base = scratch_path(spark, "stream")
@@ -337,7 +337,6 @@ def q_landed_bronze_days(spark, d):
     """Bronze landed in two runs (reading-date layout), compacted, read back:
     rows per date and batch. Every copy survives landing and compaction."""
     from gaugeflow.sinks.landing import compact_bronze, land_bronze
-    from gaugeflow.sources.bronze import scratch_path
 
     base = scratch_path(spark, "landing")
     b = derived.bronze(spark, d).drop("_ingested_at", "_source_batch_id")
@@ -351,7 +350,6 @@ def q_landed_bronze_days(spark, d):
 def q_lineage_lookup(spark, d):
     """Lineage written in a key-prefix layout, then every plotted key looked up."""
     from gaugeflow.sinks.landing import write_lookup_table
-    from gaugeflow.sources.bronze import scratch_path
 
     L = layers(spark, d, materialize_latest=True)
     path = scratch_path(spark, "lineage")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.config import ATTRIBUTION, FORECAST_METHOD
+from gaugeflow.config import ATTRIBUTION, FORECAST_METHOD, PIPELINE_STAGES
 
 POINTER = "CURRENT"
 
@@ -97,10 +97,12 @@ def run_meta_document(meta: DataFrame) -> DataFrame:
         "tests_passed",
         "tests_total",
         F.array(
-            stage("ingest", F.col("rows_ingested") > 0),
-            stage("build", F.col("silver_rows") > 0),
-            stage("test", ok),
-            stage("publish", ok),
+            *[
+                stage(name, good)
+                for name, good in zip(
+                    PIPELINE_STAGES, (F.col("rows_ingested") > 0, F.col("silver_rows") > 0, ok, ok), strict=True
+                )
+            ]
         ).alias("stages"),
         "status",
         F.lit(ATTRIBUTION).alias("attribution"),

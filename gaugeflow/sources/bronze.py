@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.schemas import BRONZE
-from gaugeflow.session import scratch_path  # noqa: F401 - re-exported
 
 _FOOTER_SCHEMA = "path string, signature string"
 
