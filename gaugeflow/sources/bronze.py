@@ -41,8 +41,19 @@ def _footer_signatures(batches):
         yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
 
 
+def _ship_by_value() -> None:
+    """Send the footer reader to Python workers by value, so they need no
+    installed copy of this package (only pyarrow/pandas)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def file_signatures(spark: SparkSession, root: str) -> DataFrame:
     """``(path, signature)`` of every Parquet file below ``root``."""
+    _ship_by_value()
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
