@@ -65,7 +65,11 @@ def _single_pass_failures(df: DataFrame, checks: list[Check]) -> dict[str, Colum
 
 
 def _result_row(spark_df: DataFrame, c: Check, failures: Column) -> DataFrame:
-    return spark_df.select(
+    return spark_df.select(_result_struct(c, failures).alias("r")).select("r.*")
+
+
+def _result_struct(c: Check, failures: Column) -> Column:
+    return F.struct(
         F.lit(c.test_id).alias("test_id"),
         F.lit(c.model).alias("model"),
         F.lit(c.column).alias("column_name"),
@@ -84,10 +88,12 @@ def run_checks(tables: dict[str, DataFrame], checks: tuple[Check, ...] = DEFAULT
         df = tables[model]
         single = [c for c in cs if c.kind in ("not_null", "accepted_values")]
         if single:
+            # One aggregation pass answers every not_null / accepted_values
+            # check of the table; its one row is unpivoted into result rows.
             aggs = _single_pass_failures(df, single)
             wide = df.agg(*[v.alias(f"f{i}") for i, v in enumerate(aggs.values())])
-            for i, c in enumerate(single):
-                parts.append(_result_row(wide, c, F.col(f"f{i}")))
+            rows = F.array(*[_result_struct(c, F.col(f"f{i}")) for i, c in enumerate(single)])
+            parts.append(wide.select(F.explode(rows).alias("r")).select("r.*"))
         for c in cs:
             if c.kind == "unique":
                 dup = (

@@ -245,18 +245,24 @@ def q_run_metadata(spark, d):
     ingest_meta = L.bronze.agg(
         F.count(F.lit(1)).alias("rows_ingested"), F.max(to_ntz("_ingested_at")).alias("last_run_utc")
     )
-    # One-row aggregates combined as scalar subqueries (one per source).
-    h = head.select(F.struct("*")).scalar()
-    t = summary.select(F.struct("*")).scalar()
-    return ingest_meta.select(
+    # One-row aggregates combined as scalar subqueries, each referenced once
+    # (fields are taken in a second projection, so no subquery is repeated).
+    wide = ingest_meta.select(
         "last_run_utc",
         "rows_ingested",
         counts.scalar().alias("silver_rows"),
-        h.getField("n_stations").alias("stations"),
-        h.getField("n_above").alias("above_threshold"),
-        t.getField("tests_passed").alias("tests_passed"),
-        t.getField("tests_total").alias("tests_total"),
-        F.when(t.getField("publishable"), F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
+        head.select(F.struct("*")).scalar().alias("_h"),
+        summary.select(F.struct("*")).scalar().alias("_t"),
+    )
+    return wide.select(
+        "last_run_utc",
+        "rows_ingested",
+        "silver_rows",
+        F.col("_h.n_stations").alias("stations"),
+        F.col("_h.n_above").alias("above_threshold"),
+        F.col("_t.tests_passed").alias("tests_passed"),
+        F.col("_t.tests_total").alias("tests_total"),
+        F.when(F.col("_t.publishable"), F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
     )
 
 
