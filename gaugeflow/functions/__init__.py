@@ -6,6 +6,7 @@ from gaugeflow.functions.timefns import (
     age_minutes,
     batch_name,
     elapsed_seconds,
+    hours_before,
     iso_z,
     plus_seconds,
     to_ntz,
@@ -18,6 +19,7 @@ __all__ = [
     "batch_name",
     "elapsed_seconds",
     "falsy_coalesce",
+    "hours_before",
     "iso_z",
     "mint_reading_id",
     "plus_seconds",

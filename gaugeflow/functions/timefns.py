@@ -45,3 +45,8 @@ def age_minutes(then: Column | str, now: Column | str) -> Column:
 def batch_name(run_ts_text: Column | str) -> Column:
     """``batch_<stamp>`` with ``:`` and ``-`` removed from the run stamp."""
     return F.concat(F.lit("batch_"), F.translate(_c(run_ts_text), ":-", ""))
+
+
+def hours_before(now: Column | str, hours: int) -> Column:
+    """``now - hours`` as ``yyyy-MM-ddTHH:mm:ssZ`` text (a lookback start)."""
+    return iso_z(F.timestamp_add("HOUR", F.lit(-int(hours)), _c(now)))

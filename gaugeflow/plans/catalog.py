@@ -161,7 +161,9 @@ def q_lineage_nested(spark, d):
 
 def q_trace_one(spark, d):
     L = layers(spark, d)
-    return trace.trace(L.bronze, L.silver, L.series, trace.most_copied_plotted_key(L.bronze, L.series))
+    # The data-derived key is read by four lookups: compute it once.
+    target = materialize_table(trace.most_copied_plotted_key(L.bronze, L.series), "trace-target")
+    return trace.trace(L.bronze, L.silver, L.series, target)
 
 
 def _by_reach(series: DataFrame) -> DataFrame:

@@ -42,9 +42,13 @@ def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by: st
 def build_layers(spark: SparkSession, bronze: DataFrame, dim: DataFrame, folder: str, as_of: datetime):
     s = silver.build_silver(bronze, as_of)
     s = _materialise(spark, s, f"{folder}/silver")
-    series = gold.gold_series(s, as_of)
-    series = _materialise(spark, gold.sort_series_for_write(series), f"{folder}/gold_series")
-    latest = _materialise(spark, gold.gold_latest(s, dim), f"{folder}/gold_station_latest")
+    # Both gold tables read only silver: build them side by side.
+    series, latest = pub.run_concurrently(
+        [
+            lambda: _materialise(spark, gold.sort_series_for_write(gold.gold_series(s, as_of)), f"{folder}/gold_series"),
+            lambda: _materialise(spark, gold.gold_latest(s, dim), f"{folder}/gold_station_latest"),
+        ]
+    )
     return s, series, latest
 
 
@@ -93,10 +97,11 @@ def run_pipeline(
         "lineage": lineage.lineage_json(lineage.lineage_nested(bronze, s, series)),
         "lineage_records": lineage.sort_records_for_write(lineage.lineage_records(bronze, series)),
         "stations": latest,
+        "series": series.select("station_reference", "station_label", "date_time_utc", "value", "reading_id"),
         "series_extent": metrics.series_extent(series),
         "run_meta": pub.run_meta_document(meta),
     }
-    pub.write_artifacts(artifacts, folder, formats={"run_meta": "json", "stations": "json", "forecast": "json"})
+    pub.write_artifacts(artifacts, folder, formats={"run_meta": "json", "stations": "json", "forecast": "json", "series": "json"})
     pub.write_text(spark, f"{folder}/dashboard_header.json", json.dumps(pub.dashboard_header()))
     published = pub.publish(spark, root, run_id, bool(summary["publishable"]))
     return RunResult(run_id, folder, published, summary)

@@ -66,15 +66,36 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return version_path(root, run_id.strip()) if run_id else None
 
 
-def write_artifacts(artifacts: dict[str, DataFrame], folder: str, formats: dict[str, str] | None = None) -> None:
+def run_concurrently(actions: list, max_workers: int = 4) -> list:
+    """Submit independent Spark actions from several driver threads, so small
+    jobs overlap instead of leaving task slots idle (Spark's scheduler is
+    thread-safe; each thread's job is scheduled as usual)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(actions) <= 1 or max_workers <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
+
+
+def write_artifacts(
+    artifacts: dict[str, DataFrame], folder: str, formats: dict[str, str] | None = None, max_workers: int = 4
+) -> None:
     formats = formats or {}
-    for name, df in artifacts.items():
-        fmt = formats.get(name, "parquet")
-        w = df.write.mode("errorifexists")
-        if fmt == "json":
-            w.option("ignoreNullFields", "false").json(f"{folder}/{name}")
-        else:
-            w.parquet(f"{folder}/{name}")
+
+    def writer(name: str, df: DataFrame):
+        def run():
+            fmt = formats.get(name, "parquet")
+            w = df.write.mode("errorifexists")
+            if fmt == "json":
+                w.option("ignoreNullFields", "false").json(f"{folder}/{name}")
+            else:
+                w.parquet(f"{folder}/{name}")
+
+        return run
+
+    run_concurrently([writer(n, d) for n, d in artifacts.items()], max_workers)
 
 
 def publish(spark: SparkSession, root: str, run_id: str, publishable: bool) -> bool:

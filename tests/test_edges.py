@@ -141,3 +141,12 @@ def test_unknown_parameter_warns_and_grain_conflict_fails(spark):
 def test_try_double_numeric_column_passthrough(spark):
     df = spark.createDataFrame([(1.5,)], "v double")
     assert df.select(try_double("v", df.schema["v"].dataType).alias("x")).first().x == 1.5
+
+
+def test_hours_before_text(spark):
+    from datetime import datetime
+
+    from gaugeflow.functions import hours_before
+
+    df = spark.createDataFrame([(datetime(2026, 6, 14, 3, 0, 0),)], "now timestamp_ntz")
+    assert df.select(hours_before("now", 6).alias("s")).first().s == "2026-06-13T21:00:00Z"
