@@ -24,13 +24,23 @@ from gaugeflow.sources.meta import path_exists
 SILVER_STORED = SILVER_COLUMNS + ("reading_date",)
 
 
+def touched_dates(typed: DataFrame) -> list:
+    """Distinct reading dates of a micro-batch. Their number is bounded by
+    the calendar span of the batch (days), not by its row count, so the list
+    is small enough to bring back and use as a partition filter."""
+    return [r.reading_date for r in typed.select("reading_date").distinct().collect()]
+
+
 def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str) -> None:
     typed = typed_readings(batch.select(*BRONZE.fieldNames())).withColumn("reading_date", F.to_date("date_time_utc"))
-    touched = typed.select("reading_date").distinct()
+    dates = touched_dates(typed)
+    if not dates:
+        return
     parts = [typed]
     if path_exists(spark, silver_root):
-        stored = spark.read.schema(_stored_schema()).parquet(silver_root)
-        parts.append(stored.join(touched, "reading_date", "left_semi").drop("quality_flag"))
+        # Static partition pruning: only the touched date folders are listed and read.
+        stored = spark.read.schema(_stored_schema()).parquet(silver_root).where(F.col("reading_date").isin(dates))
+        parts.append(stored.drop("quality_flag"))
     merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1].select(*parts[0].columns))
     kept = dedupe_keep_latest_agg(merged)
     out = kept.select(*[c for c in SILVER_COLUMNS if c != "quality_flag"], "reading_date").withColumn(

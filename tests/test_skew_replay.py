@@ -57,3 +57,16 @@ def test_silver_merge_replay_is_noop(spark):
     silver_stream.merge_silver_batch(spark, stale, root)  # late-arriving older copy
     got = {r.station_reference: r.value for r in silver_stream.read_silver(spark, root).collect()}
     assert got == {"4009": 3.0, "4126": 2.0}
+
+
+def test_silver_merge_prunes_to_touched_dates(spark):
+    root = tempfile.mkdtemp(prefix="gf-merge-") + "/silver"
+    days = [to_bronze(spark, [reading("4009", NOW - timedelta(days=k), float(k))]) for k in range(3)]
+    for b in days:
+        silver_stream.merge_silver_batch(spark, b, root)
+    stored = spark.read.schema(silver_stream._stored_schema()).parquet(root)
+    q = stored.where(F.col("reading_date").isin([NOW.date()]))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    part = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "reading_date" in part and ("= 2026-06-14" in part or "IN (2026-06-14)" in part)
+    assert silver_stream.read_silver(spark, root).count() == 3
