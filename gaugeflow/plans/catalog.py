@@ -365,6 +365,26 @@ def q_lineage_lookup(spark, d):
     return spark.read.parquet(path).drop("key_prefix")
 
 
+INGEST_RUN_TS = datetime(2024, 1, 30, 0, 0, 0)
+INGEST_LOOKBACK_HOURS = 48
+
+
+def q_ingest_run(spark, d):
+    """Payload files from ``events`` landed by the batch ingest run for the
+    stations of ``supplier`` and a 48 h lookback: the bronze rows it wrote."""
+    from gaugeflow.plans.ingest import ingest_run
+    from gaugeflow.sources import payloads
+
+    base = scratch_path(spark, "ingest")
+    payloads.reading_payload_text(derived.load(spark, d, "events")).write.text(f"{base}/payloads")
+    ingest_run(
+        spark, f"{base}/payloads", f"{base}/bronze", {"stations": []}, INGEST_RUN_TS,
+        hours=INGEST_LOOKBACK_HOURS, stations=derived.stations(spark, d),
+    )
+    b = spark.read.parquet(f"{base}/bronze")
+    return b.select("reading_id", "station_reference", "date_time", "value", "_ingested_at", "batch")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -410,4 +430,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest": q_stream_latest,
     "landed_bronze_days": q_landed_bronze_days,
     "lineage_lookup": q_lineage_lookup,
+    "ingest_run": q_ingest_run,
 }

@@ -404,6 +404,22 @@ _q(
      FROM bronze GROUP BY 1, 2""",
 )
 _q("lineage_lookup", LINEAGE_FLAT)
+_q(
+    "ingest_run",
+    """, fr AS (
+       SELECT 'user-' || CAST(user_id AS VARCHAR)
+           || CASE WHEN user_id % 15 = 0 THEN '-' || strftime(ts, '%Y-%m-%d') ELSE '' END AS measure,
+         CAST(user_id AS VARCHAR) AS station_reference,
+         CASE WHEN event_id % 101 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS date_time,
+         CASE WHEN event_id % 97 = 0 THEN NULL ELSE value END AS value
+       FROM events)
+     SELECT md5(coalesce(measure, 'None') || '|' || coalesce(date_time, 'None')) AS reading_id,
+       station_reference, date_time, value,
+       '2024-01-30T00:00:00Z' AS _ingested_at, 'batch_20240130T000000Z' AS batch
+     FROM fr
+     WHERE station_reference IN (SELECT station_reference FROM dim)
+       AND (date_time IS NULL OR CAST(date_time AS TIMESTAMP) > TIMESTAMP '2024-01-28 00:00:00')""",
+)
 
 
 def oracle_sql() -> dict[str, str]:
