@@ -57,11 +57,13 @@ def gold_series(silver: DataFrame, as_of: datetime | None = None, days: int = SE
 
 
 def sort_series_for_write(series: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Physical order by station then time: range-partition by station and
-    sort inside each partition, so Parquet row groups get tight min/max
-    statistics without a single global sort task."""
-    keyed = series.repartitionByRange(partitions, "station_reference") if partitions else series.repartitionByRange("station_reference")
-    return keyed.sortWithinPartitions("station_reference", "date_time_utc", "reading_id")
+    """Physical order by station then time: range-partition on (station,
+    time) and sort inside each partition, so Parquet row groups get tight
+    min/max statistics. Time is part of the range key, so a station with a
+    large share of the rows is spread over several ranges instead of one task."""
+    keys = ["station_reference", "date_time_utc", "reading_id"]
+    keyed = series.repartitionByRange(partitions, *keys) if partitions else series.repartitionByRange(*keys)
+    return keyed.sortWithinPartitions(*keys)
 
 
 def threshold_of(dim_threshold: str = "threshold_m", dim_typical: str = "typical_range_high") -> F.Column:

@@ -53,34 +53,33 @@ def copy_raw_feed(spark: SparkSession, src: str, dest: str) -> None:
 
 
 def compact_bronze(spark: SparkSession, root: str, out: str, dt_from: str | None = None, dt_to: str | None = None,
-                   files_per_day: int = 1) -> DataFrame:
-    """Rewrite bronze partitions into fewer files under a new root, keeping
-    every copy (row count is preserved; nothing is deduplicated). The date
-    range prunes partitions at the scan."""
+                   partitions: int | None = None) -> DataFrame:
+    """Rewrite bronze partitions into fewer, larger files under a new root,
+    keeping every copy (row count is preserved; nothing is deduplicated).
+    The date range prunes partitions at the scan. Rows are range-partitioned
+    on (dt, batch, key, ingest time): small folders share a task, and a busy
+    day is split over several tasks, with files sorted by key."""
     df = spark.read.parquet(root)
     if dt_from:
         df = df.where(F.col("dt") >= F.lit(dt_from).cast("date"))
     if dt_to:
         df = df.where(F.col("dt") <= F.lit(dt_to).cast("date"))
-    # Hash on (dt, batch, salt) so one busy day becomes several files/tasks.
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64("reading_id", "_ingested_at"), F.lit(files_per_day)))
-    out_df = salted.repartition("dt", "batch", "_salt").drop("_salt")
-    out_df.write.mode("errorifexists").partitionBy("dt", "batch").parquet(out)
+    keys = ["dt", "batch", "reading_id", "_ingested_at"]
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy("dt", "batch").parquet(out)
     return spark.read.parquet(out)
 
 
-def write_lookup_table(df: DataFrame, path: str, key: str = "reading_id", prefix_len: int = 2) -> None:
+def write_lookup_table(df: DataFrame, path: str, key: str = "reading_id", prefix_len: int = 2,
+                       partitions: int | None = None) -> None:
     """Lay a keyed table out by the first hex digits of an md5 key, so a
-    point lookup reads one folder (min/max statistics cannot prune md5
-    values). Rows are sorted by key inside each folder."""
+    point lookup reads one folder, and files inside are sorted by key so
+    row-group statistics prune the rest. Range partitioning on the key keeps
+    tasks balanced whatever the table size (each task covers a contiguous key
+    range, i.e. one or two prefix folders)."""
     keyed = df.withColumn("key_prefix", F.substring(F.col(key), 1, prefix_len))
-    (
-        keyed.repartition("key_prefix")
-        .sortWithinPartitions(key)
-        .write.mode("errorifexists")
-        .partitionBy("key_prefix")
-        .parquet(path)
-    )
+    ranged = keyed.repartitionByRange(partitions, key) if partitions else keyed.repartitionByRange(key)
+    ranged.sortWithinPartitions(key).write.mode("errorifexists").partitionBy("key_prefix").parquet(path)
 
 
 def lookup(spark: SparkSession, path: str, key_value: str, key: str = "reading_id", prefix_len: int = 2) -> DataFrame:
