@@ -57,6 +57,26 @@ def trace(bronze: DataFrame, silver: DataFrame, series: DataFrame, ids: DataFram
     )
 
 
+def clean_id(reading_id: str) -> str | None:
+    """The text form of :func:`sanitize_reading_id` for one parameter value."""
+    import re
+
+    cleaned = re.sub(r"(?i)[^a-f0-9]", "", reading_id or "")
+    return cleaned or None
+
+
+def trace_by_id(bronze: DataFrame, silver: DataFrame, series: DataFrame, reading_id: str) -> DataFrame:
+    """One key given as text: each layer gets an equality filter on the key,
+    which reaches its Parquet scan (``EqualTo``) instead of a join."""
+    rid = clean_id(reading_id)
+    spark = bronze.sparkSession
+    if rid is None:
+        return trace(bronze, silver, series, spark.range(0).select(F.lit(None).cast("string").alias("reading_id")))
+    key = F.col("reading_id") == F.lit(rid)
+    ids = spark.range(1).select(F.lit(rid).alias("reading_id"))
+    return trace(bronze.where(key), silver.where(key), series.where(key), ids)
+
+
 def trace_records(bronze: DataFrame, reading_id: str) -> DataFrame:
     """The bronze copies of one key, oldest ingest first."""
     rid = sanitize_reading_id(F.lit(reading_id))

@@ -40,3 +40,22 @@ def test_gold_latest_without_sort_merge_join(spark):
     g.collect()
     final = g._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in final
+
+
+def test_literal_trace_pushes_key_to_every_layer(spark):
+    from gaugeflow.operators import trace
+
+    out = tempfile.mkdtemp(prefix="gf-trace-")
+    b = derived.bronze(spark, SF)
+    s = silver.build_silver(b, with_build_stamp=False)
+    b.write.parquet(f"{out}/bronze")
+    s.write.parquet(f"{out}/silver")
+    gold.gold_series(spark.read.parquet(f"{out}/silver"), None, days=100000).write.parquet(f"{out}/series")
+    rb, rs, rg = (spark.read.parquet(f"{out}/{n}") for n in ("bronze", "silver", "series"))
+    rid = rg.first().reading_id
+    t = trace.trace_by_id(rb, rs, rg, rid + "'; --xyz")
+    row = t.first()
+    assert row.reading_id == rid and row.copies >= 1 and row.quality_flag == "ok"
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"EqualTo(reading_id,{rid})") >= 3
+    assert trace.trace_by_id(rb, rs, rg, "zzz").count() == 0
