@@ -88,3 +88,19 @@ def test_missing_document_gives_nulls(spark):
     r = df.first()
     assert r.last_ingest_utc is None and r.rows_ingested is None
     assert meta.read_test_results(spark, "/nonexistent/run_results.json").where("unique_id is not null").count() == 0
+
+
+def test_run_results_stats_count_only_passes(spark):
+    from gaugeflow.operators.checks import test_stats
+
+    d = tempfile.mkdtemp(prefix="gf-rr-")
+    doc = {"results": [
+        {"unique_id": "test.a", "status": "pass"},
+        {"unique_id": "test.b", "status": "warn"},
+        {"unique_id": "test.c", "status": "pass"},
+        {"unique_id": "model.x", "status": "success"},
+    ]}
+    with open(f"{d}/run_results.json", "w") as f:
+        json.dump(doc, f, indent=2)
+    r = test_stats(meta.read_test_results(spark, f"{d}/run_results.json")).first()
+    assert (r.tests_passed, r.tests_total) == (2, 3)
