@@ -8,11 +8,16 @@ from pyspark.sql import types as T
 
 from gaugeflow.config import RANGE_HIGH, RANGE_LOW
 
-# Text accepted as a number: optional sign, decimal digits with an optional
-# fraction and exponent, or inf / infinity / nan; surrounding blanks allowed.
-# Other text (``1d``, ``1_000``, ``abc``) is null, so Spark and SQL engines
-# that disagree on such suffixes give the same answer.
-NUMERIC_TEXT = r"(?i)^\s*[+-]?(((\d+(\.\d*)?)|(\.\d+))([e][+-]?\d+)?|inf|infinity|nan)\s*$"
+# FIXED VALUES — text accepted as a number by the tolerant cast being
+# reproduced: optional sign; digit groups joined by single underscores
+# (``1_000``) in the integer part, fraction and exponent; ``1.`` and ``.5``;
+# an exponent; or inf / infinity / nan in any case; surrounding blanks.
+# Anything else (``1d``, ``0x10``, ``1__0``, ``1,5``) is null.
+_DIGITS = r"\d+(_\d+)*"
+NUMERIC_TEXT = (
+    r"(?i)^\s*[+-]?((" + _DIGITS + r"(\.(" + _DIGITS + r")?)?|\.(" + _DIGITS + r"))"
+    r"(e[+-]?" + _DIGITS + r")?|inf|infinity|nan)\s*$"
+)
 
 
 def _c(x: Column | str) -> Column:
@@ -25,7 +30,13 @@ def try_double(value: Column | str, data_type: T.DataType | None = None) -> Colu
     if isinstance(data_type, T.NumericType):
         return c.cast("double")
     text = c.cast("string")
-    return F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
+    # Underscores are stripped only when present; Spark's cast already trims
+    # blanks and reads inf / infinity / nan in any case, except a signed nan.
+    plain = F.when(text.contains("_"), F.regexp_replace(text, "_", "")).otherwise(text)
+    cast = plain.try_cast("double")
+    signed_nan = F.lower(F.trim(text)).isin("+nan", "-nan")
+    parsed = F.when(cast.isNull() & signed_nan, F.lit(float("nan"))).otherwise(cast)
+    return F.when(text.rlike(NUMERIC_TEXT), parsed)
 
 
 def quality_flag(value: Column | str) -> Column:

@@ -58,7 +58,9 @@ def test_dedupe_idempotent_and_order_free(spark):
         (" 1.5 ", "ok"),
         ("1e3", "out_of_range"),
         ("1d", "missing"),
-        ("1_000", "missing"),
+        ("1_000", "out_of_range"),  # digit groups with underscores parse (1000)
+        ("1__0", "missing"),
+        ("0x10", "missing"),
     ],
 )
 def test_value_cast_and_flag(spark, text, flag):
@@ -150,3 +152,21 @@ def test_hours_before_text(spark):
 
     df = spark.createDataFrame([(datetime(2026, 6, 14, 3, 0, 0),)], "now timestamp_ntz")
     assert df.select(hours_before("now", 6).alias("s")).first().s == "2026-06-13T21:00:00Z"
+
+
+def test_try_double_matches_sql_try_cast(spark):
+    import math
+
+    import duckdb
+
+    cases = ["1_000", "1__0", "_1", "1_", "1_000.5", "1.0_5", "1e1_0", "1d", "0x1p3", "Infinity", "+inf", "-nan",
+             "NaN", " 1.5 ", "1.", ".5", "1E+5", "+1", "-0", "1,5", "1 000", "\t2\n", "-Infinity", "1e", "e5", ".",
+             "+", "1.5.2", "1f", " -2.5e-3 ", "+.5", "INF", "n/a", "", None, "1e400", "-1e400"]
+    df = spark.createDataFrame([(c,) for c in cases], "v string")
+    got = {r.v: r.x for r in df.select("v", try_double("v").alias("x")).collect()}
+    for c in cases:
+        want = duckdb.execute("select try_cast(? as double)", [c]).fetchone()[0]
+        g = got[c]
+        assert (g is None) == (want is None), c
+        if g is not None:
+            assert (math.isnan(g) and math.isnan(want)) or g == want, c
