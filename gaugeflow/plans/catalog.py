@@ -382,7 +382,7 @@ def q_ingest_run(spark, d):
         hours=INGEST_LOOKBACK_HOURS, stations=derived.stations(spark, d),
     )
     b = spark.read.parquet(f"{base}/bronze")
-    return b.select("reading_id", "station_reference", "date_time", "value", "_ingested_at", "batch")
+    return b.select("reading_id", "station_reference", "date_time", try_double("value").alias("value"), "_ingested_at", "batch")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -3,7 +3,9 @@
 Every bronze writer uses one layout, ``<root>/dt=<date>/batch=<stamp>/``, and
 dynamic partition overwrite of only the partitions a batch produces. Earlier
 batches are never touched (append-only history) and rewriting the same batch
-is idempotent.
+is idempotent. ``value`` is always landed as text (the declared bronze
+schema), so streaming readers with a fixed schema read every file; the text
+of a double converts back to the same double.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ def land_bronze(df: DataFrame, root: str, run_ts_text: str, by: str = "reading")
     """Stamp a batch and append it under ``dt`` (reading date, or run date
     with ``by='run'``) and ``batch``. Rows without a reading time land in the
     default (null) date partition instead of being lost."""
-    stamped = with_partition_columns(stamp_batch(df, run_ts_text), run_ts_text, by=by)
+    typed = df.withColumn("value", F.col("value").cast("string"))
+    stamped = with_partition_columns(stamp_batch(typed, run_ts_text), run_ts_text, by=by)
     write_bronze_batch(stamped, root)
 
 

@@ -26,7 +26,8 @@ def stamp_from_file(df: DataFrame) -> DataFrame:
     """Run stamp and partition columns derived from the input file."""
     stamp = iso_z(F.col("_file_mtime"))
     return (
-        df.withColumn("_ingested_at", stamp)
+        df.withColumn("value", F.col("value").cast("string"))  # one bronze schema for every writer
+        .withColumn("_ingested_at", stamp)
         .withColumn("_source_batch_id", stamp)
         .withColumn("dt", reading_date())
         .withColumn("batch", F.concat(batch_name(stamp), F.lit("_"), F.substring(F.md5(F.col("_file")), 1, 10)))
