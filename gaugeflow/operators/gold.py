@@ -51,8 +51,14 @@ def window_cutoff(as_of: datetime | None, days: int) -> F.Column:
 
 
 def gold_series(silver: DataFrame, as_of: datetime | None = None, days: int = SERIES_WINDOW_DAYS) -> DataFrame:
-    """Stage rows of the last ``days`` days (inclusive cutoff)."""
-    rows = stage_rows(silver).where(F.col("date_time_utc") >= window_cutoff(as_of, days))
+    """Stage rows of the last ``days`` days (inclusive cutoff). When silver
+    is stored partitioned by ``reading_date`` (= the date of
+    ``date_time_utc``), the same bound on that column prunes every older
+    partition at planning time; the exact timestamp bound still decides."""
+    cutoff = window_cutoff(as_of, days)
+    rows = stage_rows(silver).where(F.col("date_time_utc") >= cutoff)
+    if "reading_date" in silver.columns:
+        rows = rows.where(F.col("reading_date") >= F.to_date(cutoff))
     return rows.select(*SERIES_COLUMNS)
 
 

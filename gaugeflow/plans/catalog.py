@@ -133,9 +133,7 @@ def q_headline_ordered(spark, d):
 
 
 def q_bronze_window_90d(spark, d):
-    b = derived.bronze(spark, d)
-    cut = F.lit(AS_OF_BRONZE).cast("timestamp_ntz") - F.expr("INTERVAL 90 DAYS")
-    w = b.where(to_ntz("date_time") >= cut)
+    w = ingest.bronze_window(derived.bronze(spark, d), AS_OF_BRONZE, 90)
     return w.select("reading_id", "measure", "date_time", try_double("value").alias("value"), "_ingested_at")
 
 

@@ -17,7 +17,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import checks, forecast, gold, lineage, metrics, silver
+from gaugeflow.config import BRONZE_EXPORT_DAYS
+from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver
 from gaugeflow.plans import publish as pub
 from gaugeflow.plans.catalog import AS_OF_BRONZE, AS_OF_SERIES
 from gaugeflow.sources import derived
@@ -40,8 +41,9 @@ def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by: st
 
 
 def build_layers(spark: SparkSession, bronze: DataFrame, dim: DataFrame, folder: str, as_of: datetime):
-    s = silver.build_silver(bronze, as_of)
-    s = _materialise(spark, s, f"{folder}/silver")
+    # Silver is stored by reading date: windowed consumers prune old dates.
+    s = silver.build_silver(bronze, as_of).withColumn("reading_date", F.to_date("date_time_utc"))
+    s = _materialise(spark, s, f"{folder}/silver", partition_by="reading_date")
     # Both gold tables read only silver: build them side by side.
     series, latest = pub.run_concurrently(
         [
@@ -73,8 +75,7 @@ def run_pipeline(
     summary = summary_row.asDict()
 
     fc = forecast.forecast_points(series, group="station_reference")
-    cutoff = F.lit(bronze_as_of).cast("timestamp_ntz") - F.expr("INTERVAL 90 DAYS")
-    bronze_window = bronze.where(F.col("date_time").cast("timestamp_ntz") >= cutoff)
+    bronze_window = ingest.bronze_window(bronze, bronze_as_of, BRONZE_EXPORT_DAYS)
     meta = (
         bronze.agg(
             F.count(F.lit(1)).alias("rows_ingested"),

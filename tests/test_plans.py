@@ -59,3 +59,25 @@ def test_literal_trace_pushes_key_to_every_layer(spark):
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert plan.count(f"EqualTo(reading_id,{rid})") >= 3
     assert trace.trace_by_id(rb, rs, rg, "zzz").count() == 0
+
+
+def test_windows_prune_date_partitions(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from gaugeflow.operators.ingest import bronze_window, reading_date
+
+    out = tempfile.mkdtemp(prefix="gf-prune-")
+    b = derived.bronze(spark, SF)
+    s = silver.build_silver(b, with_build_stamp=False).withColumn("reading_date", F.to_date("date_time_utc"))
+    s.write.partitionBy("reading_date").parquet(f"{out}/silver")
+    b.withColumn("dt", reading_date()).write.partitionBy("dt").parquet(f"{out}/bronze")
+    series = gold.gold_series(spark.read.parquet(f"{out}/silver"), datetime(2024, 2, 10))
+    plan = _plan(series)
+    assert "PartitionFilters: [isnotnull(reading_date" in plan and "reading_date" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert series.count() == gold.gold_series(silver.build_silver(b, with_build_stamp=False), datetime(2024, 2, 10)).count()
+    w = bronze_window(spark.read.parquet(f"{out}/bronze"), datetime(2024, 4, 10), 90)
+    part = _plan(w).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "dt" in part and ">=" in part
+    assert w.count() == bronze_window(b, datetime(2024, 4, 10), 90).count()
