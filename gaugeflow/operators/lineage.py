@@ -46,12 +46,24 @@ def semi_in(df: DataFrame, keys: DataFrame, key: str = "reading_id") -> DataFram
     return df.join(keys.select(key), key, "left_semi")
 
 
+def bronze_of_series(bronze: DataFrame, series: DataFrame) -> DataFrame:
+    """Bronze copies of plotted keys. Every copy of a key shares its reading
+    date (the key contains the reading time), so with a ``dt`` partition
+    column the bound ``dt >= date(first plotted time)`` is exact in both
+    layouts (a run date is never before the reading date); it is a scalar
+    subquery that Spark evaluates before listing partitions."""
+    if "dt" in bronze.columns:
+        first = series.agg(F.min("date_time_utc")).scalar()
+        bronze = bronze.where(F.col("dt") >= F.to_date(first))
+    return semi_in(bronze, series)
+
+
 def lineage_flat(bronze: DataFrame, silver: DataFrame, series: DataFrame) -> DataFrame:
     """One row per gold-series key: copies, ingest span, kept silver row, gold value."""
     gold = series.select(
         "reading_id", "station_reference", "station_label", "date_time_utc", F.col("value").alias("gold_value"), "unit_name"
     )
-    copies = copy_summary(semi_in(bronze, series))
+    copies = copy_summary(bronze_of_series(bronze, series))
     kept = semi_in(silver, series).select(
         "reading_id",
         F.col("value").alias("silver_value"),
@@ -110,7 +122,7 @@ def lineage_nested(bronze: DataFrame, silver: DataFrame, series: DataFrame) -> D
 
 def lineage_records(bronze: DataFrame, series: DataFrame) -> DataFrame:
     """Raw bronze copies of every plotted key, one row per copy."""
-    return bronze_copy_rows(semi_in(bronze, series))
+    return bronze_copy_rows(bronze_of_series(bronze, series))
 
 
 def sort_records_for_write(records: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -81,3 +81,24 @@ def test_windows_prune_date_partitions(spark):
     part = _plan(w).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "dt" in part and ">=" in part
     assert w.count() == bronze_window(b, datetime(2024, 4, 10), 90).count()
+
+
+def test_lineage_prunes_bronze_dates(spark):
+    from datetime import datetime
+
+    from gaugeflow.operators import lineage
+    from gaugeflow.operators.ingest import reading_date
+
+    out = tempfile.mkdtemp(prefix="gf-linprune-")
+    b = derived.bronze(spark, SF)
+    b.withColumn("dt", reading_date()).write.partitionBy("dt").parquet(f"{out}/bronze")
+    rb = spark.read.parquet(f"{out}/bronze")
+    s = silver.build_silver(b, with_build_stamp=False)
+    series = gold.gold_series(s, datetime(2024, 2, 10))
+    flat = lineage.lineage_flat(rb, s, series)
+    flat.collect()
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    filters = [p.split("], PushedFilters", 1)[0] for p in plan.split("PartitionFilters: [")[1:]]
+    assert any("dt#" in f and "Subquery" in f for f in filters)
+    same = lineage.lineage_flat(b, s, series)
+    assert flat.exceptAll(same).count() == 0 and same.exceptAll(flat).count() == 0
