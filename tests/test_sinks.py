@@ -1,7 +1,7 @@
 """Landing layout, heartbeat, compaction, lookup layout."""
 
 import tempfile
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -44,3 +44,27 @@ def test_lookup_layout(spark):
     hit = landing.lookup(spark, path, key)
     assert hit.count() == 1
     assert "PartitionFilters: [isnotnull(key_prefix" in hit._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copy_raw_feed_views_and_ordered_series(spark):
+    import json
+    import os
+
+    from gaugeflow.operators.gold import ordered_series
+    from gaugeflow.sources.views import register_layers
+
+    base = tempfile.mkdtemp(prefix="gf-raw-")
+    os.makedirs(f"{base}/feed")
+    with open(f"{base}/feed/latest.json", "w") as f:
+        f.write(json.dumps({"items": [{"measure": "m1", "value": 1.5}]}) + "\n")
+    landing.copy_raw_feed(spark, f"{base}/feed", f"{base}/evidence")
+    assert spark.read.parquet(f"{base}/evidence").count() == 1
+
+    rows = [reading("4009", NOW - k * timedelta(hours=1), float(k)) for k in (3, 1, 2)]
+    from gaugeflow.operators import gold, silver
+
+    s = silver.build_silver(to_bronze(spark, rows), NOW)
+    series = gold.gold_series(s, NOW)
+    register_layers({"gold_series_v": series})
+    assert spark.sql("SELECT count(*) AS n FROM gold_series_v").first().n == 3
+    assert [r.value for r in ordered_series(series).collect()] == [3.0, 2.0, 1.0]
