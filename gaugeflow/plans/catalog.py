@@ -383,6 +383,21 @@ def q_ingest_run(spark, d):
     return b.select("reading_id", "station_reference", "date_time", try_double("value").alias("value"), "_ingested_at", "batch")
 
 
+def q_stream_gold_latest(spark, d):
+    """Gold latest table (with the 24 h as-of) kept current by the silver
+    stream, over bronze files landed from ``events``."""
+    from gaugeflow.streaming import silver_stream
+
+    base = scratch_path(spark, "stream-gold")
+    _land_bronze_files(spark, d, f"{base}/bronze")
+    q = silver_stream.start_silver(
+        spark, f"{base}/bronze", f"{base}/silver", f"{base}/_chk", max_files=48,
+        latest_root=f"{base}/latest", dim=derived.stations(spark, d),
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/latest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -429,4 +444,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_bronze_days": q_landed_bronze_days,
     "lineage_lookup": q_lineage_lookup,
     "ingest_run": q_ingest_run,
+    "stream_gold_latest": q_stream_gold_latest,
 }

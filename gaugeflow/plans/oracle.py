@@ -404,6 +404,7 @@ _q(
      FROM bronze GROUP BY 1, 2""",
 )
 _q("lineage_lookup", LINEAGE_FLAT)
+_q("stream_gold_latest", "SELECT * FROM gold_latest")
 _q(
     "ingest_run",
     """, fr AS (

@@ -31,11 +31,11 @@ def touched_dates(typed: DataFrame) -> list:
     return [r.reading_date for r in typed.select("reading_date").distinct().collect()]
 
 
-def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str) -> None:
+def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str) -> DataFrame | None:
     typed = typed_readings(batch.select(*BRONZE.fieldNames())).withColumn("reading_date", F.to_date("date_time_utc"))
     dates = touched_dates(typed)
     if not dates:
-        return
+        return None
     parts = [typed]
     if path_exists(spark, silver_root):
         # Static partition pruning: only the touched date folders are listed and read.
@@ -55,6 +55,27 @@ def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str)
         .partitionBy("reading_date")
         .parquet(silver_root)
     )
+    return typed.select("measure").distinct()
+
+
+def refresh_latest_batch(
+    spark: SparkSession, silver_root: str, latest_root: str, touched_measures: DataFrame, dim: DataFrame
+) -> None:
+    """Recompute the gold latest rows (latest value, as-of value, change,
+    threshold) of the measures a micro-batch touched, from all of their
+    silver history, and replace those measures' rows in the latest table.
+    Exact under any lateness or replay: untouched measures keep their row,
+    touched ones are rebuilt from silver as a batch build would."""
+    from gaugeflow.operators.gold import gold_latest
+
+    touched = materialize(touched_measures, "touched-measures")
+    history = read_silver(spark, silver_root).join(touched, "measure", "left_semi")
+    fresh = gold_latest(history, dim)
+    if path_exists(spark, latest_root):
+        kept = spark.read.parquet(latest_root).join(touched, "measure", "left_anti")
+        fresh = kept.unionByName(fresh)
+    # Materialise before replacing the table the plan reads from.
+    materialize(fresh, "latest-refresh").write.mode("overwrite").parquet(latest_root)
 
 
 def _stored_schema():
@@ -64,15 +85,31 @@ def _stored_schema():
     return T.StructType(fields + [T.StructField("reading_date", T.DateType())])
 
 
-def start_silver(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str, max_files: int | None = None):
-    """Stream bronze Parquet files into silver; returns the ``StreamingQuery``."""
+def start_silver(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    latest_root: str | None = None,
+    dim: DataFrame | None = None,
+):
+    """Stream bronze Parquet files into silver; with ``latest_root`` and
+    ``dim`` the gold latest table is kept current as well. Returns the
+    ``StreamingQuery``."""
+
+    def on_batch(df: DataFrame, _epoch: int) -> None:
+        touched = merge_silver_batch(spark, df, silver_root)
+        if touched is not None and latest_root is not None and dim is not None:
+            refresh_latest_batch(spark, silver_root, latest_root, touched, dim)
+
     r = spark.readStream.schema(BRONZE)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     src = r.option("recursiveFileLookup", "true").parquet(bronze_root)
     return (
         src.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, _epoch: merge_silver_batch(spark, df, silver_root))
+        .foreachBatch(on_batch)
         .trigger(availableNow=True)
         .start()
     )
