@@ -79,6 +79,15 @@ def run_concurrently(actions: list, max_workers: int = 4) -> list:
         return [f.result() for f in futures]
 
 
+def read_published(spark: SparkSession, root: str, artifact: str, fmt: str = "parquet") -> DataFrame:
+    """An artifact of the version the pointer names (last-known-good)."""
+    folder = current_version(spark, root)
+    if folder is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    reader = spark.read.option("basePath", f"{folder}/{artifact}")
+    return reader.json(f"{folder}/{artifact}") if fmt == "json" else reader.parquet(f"{folder}/{artifact}")
+
+
 def write_artifacts(
     artifacts: dict[str, DataFrame], folder: str, formats: dict[str, str] | None = None, max_workers: int = 4
 ) -> None:

@@ -55,6 +55,9 @@ def test_publish_is_gated(spark):
     assert pub.current_version(spark, root) == good.folder  # last-known-good stays
     meta = spark.read.json(f"{good.folder}/run_meta").first()
     assert meta.tests_passed == 11 and meta.status == "ok"
+    # readers resolve the pointer: they see the good run's tables, not the failed one's
+    assert pub.read_published(spark, root, "gold_station_latest").count() == 2
+    assert pub.read_published(spark, root, "series", fmt="json").count() == 6
 
 
 def test_payload_to_silver_streams_equal_batch(spark):
