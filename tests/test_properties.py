@@ -70,3 +70,35 @@ def test_asof_matches_brute_force(spark, rs, lag):
         older = [v for t, v in pts if t <= last_t - timedelta(hours=lag)]
         expect[station] = (last_v, older[-1] if older else None)
     assert got == expect
+
+
+points = st.lists(
+    st.tuples(st.integers(0, 120), st.integers(-400, 400).map(lambda x: x / 10.0)),  # 15-min slots back, value
+    min_size=1,
+    max_size=20,
+    unique_by=lambda t: t[0],
+)
+
+
+@SETTINGS
+@given(points)
+def test_forecast_matches_numpy(spark, ps):
+    import numpy as np
+
+    from gaugeflow.operators import forecast
+
+    rows = [reading("4009", NOW - timedelta(minutes=15 * k), v) for k, v in ps]
+    series = gold.gold_series(silver.build_silver(to_bronze(spark, rows), NOW), NOW)
+    got = sorted((r.k, r.date_time_utc, r.value) for r in forecast.forecast_points(series).collect())
+    pts = sorted((NOW - timedelta(minutes=15 * k), v) for k, v in ps)
+    expect = []
+    if len(pts) >= 4:
+        secs = np.array([(t - pts[0][0]).total_seconds() for t, _ in pts])
+        recent = secs >= secs.max() - 12 * 3600
+        if recent.sum() >= 4:
+            slope = np.polyfit(secs[recent], np.array([v for _, v in pts])[recent], 1)[0]
+            last_t, last_v = pts[-1]
+            expect = [(k, last_t + timedelta(seconds=k * 900), round(last_v + slope * k * 900 * 0.97**k, 3)) for k in range(1, 25)]
+    assert [(k, t) for k, t, _ in got] == [(k, t) for k, t, _ in expect]
+    for (_, _, g), (_, _, e) in zip(got, expect, strict=True):
+        assert abs(g - e) <= 1e-3 + 1e-9  # 3-dp rounding may differ on an exact tie
