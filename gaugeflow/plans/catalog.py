@@ -23,6 +23,7 @@ from gaugeflow.sources import derived
 AS_OF_SERIES = datetime(2024, 2, 10, 0, 0, 0)
 AS_OF_BRONZE = datetime(2024, 4, 10, 0, 0, 0)
 AS_OF_FRESHNESS = datetime(2024, 1, 31, 0, 0, 0)
+AS_OF_HEALTH = datetime(2024, 1, 31, 12, 0, 0)
 LOOKBACK_SINCE = "2024-01-29T18:00:00Z"
 REFLAG_THRESHOLD = 30.0
 PRIMARY_STATION = "7"
@@ -266,6 +267,11 @@ def q_run_metadata(spark, d):
     )
 
 
+def q_run_health(spark, d):
+    """Dashboard health of the run: age of the last run and the stale flag."""
+    return metrics.health(q_run_metadata(spark, d), AS_OF_HEALTH)
+
+
 def q_freshness(spark, d):
     return metrics.freshness(layers(spark, d, materialize=False).silver, "date_time_utc", AS_OF_FRESHNESS, group="station_reference")
 
@@ -434,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_per_day": q_rows_per_day,
     "run_metadata": q_run_metadata,
     "freshness": q_freshness,
+    "run_health": q_run_health,
     "newest_n_per_station": q_newest_n_per_station,
     "lookback_since": q_lookback_since,
     "flatten_payload": q_flatten_payload,

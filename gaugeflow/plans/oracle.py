@@ -335,6 +335,26 @@ _q(
        CASE WHEN (SELECT publishable FROM dq_summary) THEN 'ok' ELSE 'failed' END AS status""",
     DQ,
 )
+_q(
+    "run_health",
+    """, rm AS (SELECT (SELECT max(CAST(_ingested_at AS TIMESTAMP)) FROM bronze) AS last_run_utc,
+       (SELECT count(*) FROM bronze) AS rows_ingested,
+       (SELECT count(*) FROM silver) AS silver_rows,
+       (SELECT count(*) FROM gold_latest) AS stations,
+       (SELECT count_if(above_threshold) FROM gold_latest) AS above_threshold,
+       (SELECT tests_passed FROM dq_summary) AS tests_passed,
+       (SELECT tests_total FROM dq_summary) AS tests_total,
+       CASE WHEN (SELECT publishable FROM dq_summary) THEN 'ok' ELSE 'failed' END AS status)
+     SELECT rm.*,
+       CAST(floor((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(last_run_utc)) / 1e6 / 60.0 + 0.5) AS BIGINT)
+         AS age_minutes,
+       coalesce(floor((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(last_run_utc)) / 1e6 / 60.0 + 0.5) > 360,
+         false) AS stale,
+       CASE WHEN coalesce(floor((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(last_run_utc)) / 1e6 / 60.0
+         + 0.5) > 360, false) THEN 'stale' ELSE 'last-known-good' END AS health_status
+     FROM rm""",
+    DQ,
+)
 _q(
     "freshness",
     """, f AS (SELECT station_reference, max(date_time_utc) AS last_at FROM silver GROUP BY 1)
