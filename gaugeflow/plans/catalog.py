@@ -401,7 +401,7 @@ def q_stream_gold_latest(spark, d):
         latest_root=f"{base}/latest", dim=derived.stations(spark, d),
     )
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/latest")
+    return silver_stream.read_latest(spark, f"{base}/latest")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

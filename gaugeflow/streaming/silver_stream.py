@@ -63,19 +63,38 @@ def refresh_latest_batch(
 ) -> None:
     """Recompute the gold latest rows (latest value, as-of value, change,
     threshold) of the measures a micro-batch touched, from all of their
-    silver history, and replace those measures' rows in the latest table.
+    silver history, and replace those measures' rows in the latest table
+    (a new version behind a pointer; see :func:`read_latest`).
     Exact under any lateness or replay: untouched measures keep their row,
     touched ones are rebuilt from silver as a batch build would."""
     from gaugeflow.operators.gold import gold_latest
 
+    import uuid
+
+    from gaugeflow.plans.publish import current_version, publish, version_path
+
     touched = materialize(touched_measures, "touched-measures")
     history = read_silver(spark, silver_root).join(touched, "measure", "left_semi")
     fresh = gold_latest(history, dim)
-    if path_exists(spark, latest_root):
-        kept = spark.read.parquet(latest_root).join(touched, "measure", "left_anti")
+    previous = current_version(spark, latest_root)
+    if previous is not None:
+        kept = spark.read.parquet(previous).join(touched, "measure", "left_anti")
         fresh = kept.unionByName(fresh)
-    # Materialise before replacing the table the plan reads from.
-    materialize(fresh, "latest-refresh").write.mode("overwrite").parquet(latest_root)
+    # A new version folder, then the pointer flips: readers never see a
+    # half-written table, and the version being read is never overwritten.
+    run_id = f"latest-{uuid.uuid4().hex[:12]}"
+    fresh.write.parquet(version_path(latest_root, run_id))
+    publish(spark, latest_root, run_id, True)
+
+
+def read_latest(spark: SparkSession, latest_root: str) -> DataFrame:
+    """The gold latest table kept by the stream (the version the pointer names)."""
+    from gaugeflow.plans.publish import current_version
+
+    folder = current_version(spark, latest_root)
+    if folder is None:
+        raise FileNotFoundError(f"no latest table under {latest_root}")
+    return spark.read.parquet(folder)
 
 
 def _stored_schema():
