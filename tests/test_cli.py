@@ -34,7 +34,6 @@ def test_cli_ingest_build_trace_discover(spark, capsys):
     build = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert build["published"] is True and build["tests_passed"] == 11
 
-    from gaugeflow.functions.keys import mint_reading_id  # noqa: F401 - the key rule used below
     import hashlib
 
     rid = hashlib.md5(b"m-4009|2026-06-13T18:00:00Z").hexdigest()
