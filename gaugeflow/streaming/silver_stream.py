@@ -154,14 +154,27 @@ def latest_aggregation(silver_rows: DataFrame) -> DataFrame:
     )
 
 
+def _publish_version(df: DataFrame, root: str, epoch: int) -> None:
+    """Write one complete version and flip the pointer (a replayed epoch
+    writes a fresh folder and flips again: same content)."""
+    import uuid
+
+    from gaugeflow.plans.publish import publish, version_path
+
+    run_id = f"epoch-{epoch:09d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(version_path(root, run_id))
+    publish(df.sparkSession, root, run_id, True)
+
+
 def start_latest(spark: SparkSession, silver_root: str, out_root: str, checkpoint: str):
-    """Running latest-per-measure over silver files, rewritten each trigger."""
+    """Running latest-per-measure over silver files; each trigger publishes a
+    complete version behind a pointer (read it with :func:`read_latest`)."""
     src = spark.readStream.schema(_stored_schema()).parquet(silver_root)
     agg = latest_aggregation(src)
     return (
         agg.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, _epoch: df.write.mode("overwrite").parquet(out_root))
+        .foreachBatch(lambda df, epoch: _publish_version(df, out_root, epoch))
         .trigger(availableNow=True)
         .start()
     )
