@@ -173,6 +173,11 @@ def q_forecast_points(spark, d):
     return forecast.forecast_points(_by_reach(layers(spark, d).series), group="reach")
 
 
+def q_forecast_points_by_station(spark, d):
+    """Forecast grouped by station, as the dashboard publishes it."""
+    return forecast.forecast_points(layers(spark, d).series, group="station_reference")
+
+
 def q_series_with_forecast(spark, d):
     s = _by_reach(layers(spark, d).series)
     fc = forecast.forecast_points(s, group="reach")
@@ -427,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineage_nested": q_lineage_nested,
     "trace_one": q_trace_one,
     "forecast_points": q_forecast_points,
+    "forecast_points_by_station": q_forecast_points_by_station,
     "series_with_forecast": q_series_with_forecast,
     "forecast_guard": q_forecast_guard,
     "series_extent": q_series_extent,

@@ -168,6 +168,36 @@ fc AS (
 )
 """
 
+FORECAST_BY_STATION = r""",
+pts AS (SELECT station_reference AS reach, date_time_utc, value, reading_id
+        FROM series WHERE value IS NOT NULL),
+anchor AS (
+  SELECT reach, count(*) AS n_points, max(date_time_utc) AS last_at,
+    arg_max(value, (date_time_utc, reading_id)) AS last_value
+  FROM pts GROUP BY reach
+),
+fit AS (
+  SELECT p.reach, count(*) AS n_recent,
+    regr_slope(p.value, (epoch_us(p.date_time_utc) - epoch_us(a.last_at)) / 1e6) AS slope
+  FROM pts p JOIN anchor a ON p.reach = a.reach
+  WHERE p.date_time_utc >= a.last_at - INTERVAL 12 HOUR
+  GROUP BY p.reach
+),
+model AS (
+  SELECT a.*, coalesce(f.n_recent, 0) AS n_recent, f.slope,
+    a.n_points >= 4 AND coalesce(f.n_recent, 0) >= 4 AND f.slope IS NOT NULL AS eligible
+  FROM anchor a LEFT JOIN fit f ON a.reach = f.reach
+),
+fc AS (
+  SELECT reach, CAST(k AS INTEGER) AS k,
+    last_at + to_seconds(CAST(k * 900 AS BIGINT)) AS date_time_utc,
+    round(last_value + slope * (k * 900) * pow(0.97, k), 3) AS value,
+    'forecast' AS kind
+  FROM model, generate_series(1, 24) AS g(k)
+  WHERE eligible
+)
+"""
+
 _SQL: dict[str, str] = {}
 
 
@@ -254,6 +284,11 @@ _q(
      FROM lf WHERE reading_id IN (SELECT reading_id FROM target)""",
 )
 _q("forecast_points", "SELECT reach, k, date_time_utc, value, kind FROM fc", FORECAST)
+_q(
+    "forecast_points_by_station",
+    "SELECT reach AS station_reference, k, date_time_utc, value, kind FROM fc",
+    FORECAST_BY_STATION,
+)
 _q(
     "series_with_forecast",
     """, both_ AS (
