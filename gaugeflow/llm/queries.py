@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import binpack, curriculum, url_reputation, warc_store
+from gaugeflow.llm import binpack, curriculum, language, url_reputation, warc_store
 from gaugeflow.llm.base import table
 
 # FIXED VALUES of the url query.
@@ -33,6 +33,14 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("low", 6).alias("low"))
 
 
+def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from every document that is not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.is_held_out(F.col("doc_id")))
+    model = language.learn(docs.filter(~F.col("held_out")))
+    found = language.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op6_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = binpack.pack(table(spark, sf_dir, "documents"), SHARDS)
     return packed.select(
@@ -57,6 +65,7 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
+    "op4_language_spans": op4_language_spans,
     "op6_vector_bin_packing": op6_vector_bin_packing,
     "op7_warc_archive": op7_warc_archive,
     "op8_curriculum_mix": op8_curriculum_mix,
