@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import binpack, curriculum, language, url_reputation, warc_store
+from gaugeflow.llm import binpack, curriculum, language, ngram_join, pieces, url_reputation, warc_store
 from gaugeflow.llm.base import table
 
 # FIXED VALUES of the url query.
@@ -20,6 +20,7 @@ URL_RULES = (
     url_reputation.Rule("block", "com", "/de/"),
 )
 SHARDS = 16
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("low", 6).alias("low"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from every document that is not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.is_held_out(F.col("doc_id")))
@@ -63,10 +68,18 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to the text."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_MODEL)
+    return encoded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", "round_trip")
+
+
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_spans": op4_language_spans,
     "op6_vector_bin_packing": op6_vector_bin_packing,
     "op7_warc_archive": op7_warc_archive,
     "op8_curriculum_mix": op8_curriculum_mix,
+    "op9_sentencepiece": op9_sentencepiece,
 }

@@ -86,7 +86,7 @@ def shingle_codes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarra
     out[long] = acc[where[long]]
     for i in np.flatnonzero((counts > 0) & (counts < width)):
         own = codes[starts[i] : starts[i + 1]]
-        out[first[i]] = mix((own * _LANE[: len(own)]).sum(dtype=np.uint64) + _U(len(own)))[()]
+        out[first[i]] = mix((own * _LANE[: len(own)]).sum(dtype=np.uint64, keepdims=True) + _U(len(own)))[0]
     return out, made
 
 
