@@ -84,4 +84,35 @@ SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken,
 FROM q
 """
 
-ORACLE_SQL = {"op1_url_reputation": OP1, "op7_warc_archive": OP7, "op8_curriculum_mix": OP8}
+OP2 = r"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+OP10 = r"""
+WITH RECURSIVE t AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+a AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, (conv_id + turn) % 3 AS kind, (conv_id + turn) % 11 = 0 AS odd,
+    coalesce(regexp_extract(text, '[A-Za-z]+', 0), '') AS word, coalesce(length(text), 0) % 50 AS lim,
+    'c' || conv_id || '-' || CASE WHEN conv_id % 5 = 0 THEN turn + 2 ELSE turn - 2 END AS needs
+  FROM t WHERE role = 'assistant'),
+res AS (SELECT 'c' || conv_id || '-' || (turn - 1) AS call_id, text AS content FROM t WHERE role = 'user'),
+lev AS (
+  SELECT call_id, 0 AS level FROM a WHERE needs NOT IN (SELECT call_id FROM a)
+  UNION ALL SELECT a.call_id, lev.level + 1 FROM a JOIN lev ON a.needs = lev.call_id),
+j AS (SELECT a.*, content, res.call_id IS NOT NULL AS answered,
+    CASE WHEN conv_id % 5 = 0 THEN lev.level ELSE 0 END AS level,
+    CASE WHEN kind = 0 AND odd THEN 'bad_arguments' WHEN res.call_id IS NULL THEN 'no_result' ELSE 'ok' END AS status
+  FROM a LEFT JOIN res USING (call_id) LEFT JOIN lev USING (call_id))
+SELECT conv_id, call_id, turn, level::INTEGER AS level, status,
+  '{"arguments":' || CASE WHEN kind = 0 AND odd THEN 'null' WHEN kind = 0 THEN '{"limit":' || lim || ',"query":"' || word || '"}'
+    WHEN kind = 1 THEN '{"text":"' || word || '"}' ELSE '{"key":"' || word || '","strict":true}' END
+  || ',"id":"' || call_id || '","name":"' || CASE kind WHEN 0 THEN 'search' WHEN 1 THEN 'count' ELSE 'lookup' END
+  || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"' || status || '"}' AS message
+FROM j
+"""
+
+ORACLE_SQL = {"op2_maxscore": OP2, "op10_tool_calls": OP10, "op1_url_reputation": OP1, "op7_warc_archive": OP7, "op8_curriculum_mix": OP8}

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import binpack, curriculum, language, ngram_join, pieces, url_reputation, warc_store
+from gaugeflow.llm import binpack, curriculum, hilbert, language, maxscore, ngram_join, pieces, toolcalls, url_reputation, warc_store
 from gaugeflow.llm.base import table
 
 # FIXED VALUES of the url query.
@@ -20,6 +20,21 @@ URL_RULES = (
     url_reputation.Rule("block", "com", "/de/"),
 )
 SHARDS = 16
+# FIXED VALUES of the tool-call query: the table has no calls, so every assistant
+# turn makes one by this rule, and the user turn behind it is its result.
+TOOLS = {
+    "search": {
+        "type": "object",
+        "required": ["query", "limit"],
+        "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}},
+    },
+    "count": {"type": "object", "required": ["text"], "properties": {"text": {"type": "string"}}},
+    "lookup": {
+        "type": "object",
+        "required": ["key"],
+        "properties": {"key": {"type": "string"}, "strict": {"type": "boolean"}},
+    },
+}
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -34,6 +49,10 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("low", 6).alias("low"))
 
 
+def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, 20)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -46,6 +65,10 @@ def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
 
 
+def op5_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.neighbours(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, 10)
+
+
 def op6_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = binpack.pack(table(spark, sf_dir, "documents"), SHARDS)
     return packed.select(
@@ -74,12 +97,44 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
+def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(calls, needs, results). A call needs that of the assistant turn before,
+    in every fifth conversation that of the turn behind; every eleventh call
+    has a limit in quotes."""
+    rows = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    name_of = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    word = F.coalesce(F.regexp_extract("text", "[A-Za-z]+", 0), F.lit(""))
+    size = F.coalesce(F.length("text"), F.lit(0))
+    kind, odd = (F.col("conv_id") + F.col("turn")) % 3, (F.col("conv_id") + F.col("turn")) % 11 == 0
+    quote = F.when(odd, '"').otherwise("")
+    search = F.concat(F.lit('{ "query": "'), word, F.lit('", "limit": '), quote, (size % 50).cast("string"), quote, F.lit(" }"))
+    count = F.concat(F.lit('{"text":"'), word, F.lit('"}'))
+    lookup = F.concat(F.lit('{"strict": true, "key": "'), word, F.lit('"}'))
+    calls = rows.filter("role = 'assistant'")
+    made = calls.select(
+        "conv_id", name_of(F.col("turn")).alias("call_id"), "turn",
+        F.when(kind == 0, "search").when(kind == 1, "count").otherwise("lookup").alias("name"),
+        F.when(kind == 0, search).when(kind == 1, count).otherwise(lookup).alias("arguments"),
+    )
+    other = F.when(F.col("conv_id") % 5 == 0, F.col("turn") + 2).otherwise(F.col("turn") - 2)
+    needs = calls.select(name_of(F.col("turn")).alias("call_id"), name_of(other).alias("needs"))
+    results = rows.filter("role = 'user'").select(name_of(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return made, needs, results
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.link(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
+    "op2_maxscore": op2_maxscore,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_spans": op4_language_spans,
+    "op5_hilbert_neighbours": op5_hilbert_neighbours,
     "op6_vector_bin_packing": op6_vector_bin_packing,
     "op7_warc_archive": op7_warc_archive,
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_tool_calls": op10_tool_calls,
 }
