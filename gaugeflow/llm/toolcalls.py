@@ -2,9 +2,11 @@
 
 Calls and results are hash-joined by identifier. Within a conversation calls
 are put in topological order of what they need: where everything needed comes in an
-earlier turn the turns are that order (level 0); the other conversations are
-layered by rounds that take off all calls without open needs, one join a round
-over the edges still open. Arguments are checked against the tool's schema and
+earlier turn the turns are that order (level 0). In other conversations a call's level
+is the longest chain of needs below it: where no call needs more than one other,
+chains are followed by doubling (as many joins as the logarithm of the longest
+chain); the remaining conversations are layered by rounds that take off all
+calls without open needs (as many rounds as the longest chain). Arguments are checked against the tool's schema and
 written as canonical JSON (sorted keys, no spaces, whole numbers and text as they are).
 
 Results are rows, one per call, sorted by (conv_id, level, turn, call_id):
@@ -12,7 +14,7 @@ no conversation is gathered, so its length does not matter.
 
 Defined cases: a call without result has status ``no_result``; a result without
 call is left to ``orphans``; of rows that repeat an identifier the one with
-the smallest (turn, ...) counts; needs that name no call are ignored; calls on
+the smallest (turn, ...) counts; needs that name no call of the same conversation are ignored; calls on
 or behind a cycle have a null level and status ``cycle``; null, empty or
 malformed arguments are ``bad_arguments``, a name without schema is
 ``unknown_tool``. Of several troubles the first of this order is given:
@@ -79,6 +81,24 @@ def levels(edges: DataFrame) -> DataFrame:
         edges = still
 
 
+def depths(edges: DataFrame) -> DataFrame:
+    """The same where every call has one need, by doubling: each round a call
+    skips to where its present target points."""
+    now = materialize(edges.groupBy("call_id").agg(F.min("needs").alias("at")).withColumn("level", F.lit(1)), "chains")
+    most, reach = now.count(), 1
+    while True:
+        ends = now.select(F.col("call_id").alias("at"), F.col("at").alias("next"), F.col("level").alias("more"))
+        # A target that needs nothing is final.
+        joined = now.join(ends, "at", "left")
+        open_ = joined.filter("next IS NOT NULL")
+        if reach > most or open_.isEmpty():
+            done = now.join(ends, "at", "left_anti")
+            return done.select("call_id", "level")
+        level = (F.col("level") + F.coalesce(F.col("more"), F.lit(0))).cast("int")
+        now = materialize(joined.select("call_id", F.coalesce("next", "at").alias("at"), level.alias("level")), "chains")
+        reach *= 2
+
+
 def link(calls: DataFrame, needs: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
     """``conv_id, call_id, turn, level, status, message`` for every call.
 
@@ -88,13 +108,15 @@ def link(calls: DataFrame, needs: DataFrame, results: DataFrame, schemas: Mappin
     calls = materialize(calls.filter("call_id IS NOT NULL").groupBy("call_id").agg(once).select("call_id", "c.*"), "calls")
     answers = results.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
     answers = materialize(answers.select("call_id", F.lit(True).alias("answered"), F.col("r.content").alias("content")), "answers")
-    ends = calls.select("call_id", "conv_id", "turn")
+    ends = calls.select("call_id", "conv_id", "turn").filter("conv_id IS NOT NULL")
     known = needs.select("call_id", "needs").filter("call_id IS NOT NULL AND needs IS NOT NULL")
-    known = known.join(ends, "call_id").join(ends.select(F.col("call_id").alias("needs"), F.col("turn").alias("needs_turn")), "needs")
+    known = known.join(ends, "call_id").join(ends.select("conv_id", F.col("call_id").alias("needs"), F.col("turn").alias("needs_turn")), ["needs", "conv_id"])
     known = materialize(known.select("call_id", "needs", "conv_id", F.coalesce(F.col("needs_turn") < F.col("turn"), F.lit(False)).alias("forward")), "edges")
     back = known.filter("NOT forward").select("conv_id").distinct()
-    layered = levels(known.join(back, "conv_id", "left_semi").select("call_id", "needs"))
-    open_ = known.join(back, "conv_id", "left_semi").select("call_id").distinct().withColumn("open", F.lit(True))
+    back = materialize(known.join(back, "conv_id", "left_semi").select("conv_id", "call_id", "needs").distinct(), "edges-back")
+    many = materialize(back.groupBy("conv_id", "call_id").count().filter("count > 1").select("conv_id").distinct(), "edges-many")
+    layered = depths(back.join(many, "conv_id", "left_anti")).union(levels(back.join(many, "conv_id", "left_semi").select("call_id", "needs")))
+    open_ = back.select("call_id").distinct().withColumn("open", F.lit(True))
     order = materialize(open_.join(layered, "call_id", "left").select("call_id", "open", "level"), "order")
     linked = calls.join(answers, "call_id", "left").join(order, "call_id", "left")
     level = F.when(F.col("open"), F.col("level")).otherwise(0).cast("int")
