@@ -49,7 +49,8 @@ class Settings:
     smoothing: float = 0.5
     switch_penalty: float = 12.0
     script_share: float = 0.01  # least share of a language's letters for a script to be its own
-    batch_letters: int = 1 << 21
+    part_chars: int = 1 << 19  # characters scored at once
+    batch_chars: int = 1 << 23  # characters whose words advance together
 
 
 @dataclass(frozen=True)
@@ -157,7 +158,7 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> Model:
         scripts = np.zeros((len(languages), len(names)), np.int64)
         for b in batches:
             langs, texts = b.column("lang").to_pylist(), b.column("text").to_pylist()
-            for at, part in _batched(texts, settings.batch_letters):
+            for at, part in _batched(texts, settings.part_chars):
                 w = _words(part)
                 if not len(w["at"]):
                     continue
@@ -232,16 +233,21 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
     return out
 
 
-def label_words(texts: list, model: Model, settings: Settings) -> Iterator[tuple[int, dict, np.ndarray]]:
-    """Per batch of whole texts: (first text, its words, label of each word)."""
-    for at, part in _batched(texts, settings.batch_letters):
-        w = _words(part)
-        scores = _sum_cells(w, model.scores, settings.cells)
-        allowed = model.scripts[w["script"]]
-        allowed = allowed | ~allowed.any(1, keepdims=True)
-        scores = np.where(allowed, scores, np.float32(-1e9))
-        counts = np.bincount(w["text"], minlength=len(part))
-        yield at, w, viterbi(scores, counts, settings.switch_penalty) if len(scores) else np.zeros(0, np.int16)
+def label_words(texts: list, model: Model, settings: Settings) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per batch of whole texts: (first text, and of each word its text within
+    the batch, its letters and its label)."""
+    for at, batch in _batched(texts, settings.batch_chars):
+        text, size, scores = [], [], []
+        for begin, part in _batched(batch, settings.part_chars):
+            w = _words(part)
+            allowed = model.scripts[w["script"]]
+            allowed = allowed | ~allowed.any(1, keepdims=True)
+            scores.append(np.where(allowed, _sum_cells(w, model.scores, settings.cells), np.float32(-1e9)))
+            text.append(w["text"] + begin)
+            size.append(w["size"])
+        of_text, per_word = np.concatenate(text), np.concatenate(scores)
+        labels = viterbi(per_word, np.bincount(of_text, minlength=len(batch)), settings.switch_penalty)
+        yield at, of_text, np.concatenate(size), labels
 
 
 def identify(docs: DataFrame, model: Model, settings: Settings = Settings(), text: str = "text") -> DataFrame:
@@ -264,18 +270,18 @@ def identify(docs: DataFrame, model: Model, settings: Settings = Settings(), tex
             pred = np.full(len(texts), len(m.languages))
             score = np.zeros(len(texts))
             spans: list = [[] for _ in texts]
-            for at, w, labels in label_words(texts, m, settings) if m.languages else ():
+            for at, of_text, size, labels in label_words(texts, m, settings) if m.languages else ():
                 if not len(labels):
                     continue
-                n = int(w["text"][-1]) + 1
-                mass = np.bincount(w["text"] * len(m.languages) + labels, weights=w["size"], minlength=n * len(m.languages)).reshape(n, -1)
+                n = int(of_text[-1]) + 1
+                mass = np.bincount(of_text * len(m.languages) + labels, weights=size, minlength=n * len(m.languages)).reshape(n, -1)
                 has = np.flatnonzero(mass.sum(1) > 0)
                 pred[at + has] = mass[has].argmax(1)
                 score[at + has] = mass[has].max(1) / mass[has].sum(1)
-                new = np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]) | (w["text"][1:] != w["text"][:-1]))))
+                new = np.flatnonzero(np.concatenate(([True], (labels[1:] != labels[:-1]) | (of_text[1:] != of_text[:-1]))))
                 lasts = np.concatenate((new[1:], [len(labels)]))
-                base = np.searchsorted(w["text"], w["text"][new], "left")
-                for i, lang, a, k in zip(w["text"][new].tolist(), names[labels[new]].tolist(), (new - base).tolist(), (lasts - new).tolist()):
+                base = np.searchsorted(of_text, of_text[new], "left")
+                for i, lang, a, k in zip(of_text[new].tolist(), names[labels[new]].tolist(), (new - base).tolist(), (lasts - new).tolist()):
                     spans[at + i].append({"lang": lang, "first": a, "words": k})
             columns = [b.column(f.name) for f in kept]
             extra = [pa.array(names[pred].tolist(), pa.string()), pa.array(score), pa.array(spans, span_type)]
