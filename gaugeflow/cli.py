@@ -47,10 +47,9 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> dict:
     config = read_station_config(spark, a.config) if a.config else {}
     r = ingest_run(
         spark, a.payloads, a.bronze, config, _parse_ts(a.run_ts), hours=a.hours,
-        max_per_station=a.max_per_station, meta_path=a.meta,
+        meta_path=a.meta,
     )
-    truncated = r.truncated.count()
-    return {"run": r.run_ts, "since": r.since, "rows_ingested": r.rows, "truncated_stations": truncated}
+    return {"run": r.run_ts, "since": r.since, "rows_ingested": r.rows}
 
 
 def cmd_build(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -94,7 +93,6 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--bronze", required=True)
     i.add_argument("--config")
     i.add_argument("--hours", type=int)
-    i.add_argument("--max-per-station", type=int)
     i.add_argument("--meta")
     i.add_argument("--run-ts")
     b = sub.add_parser("build")

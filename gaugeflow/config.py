@@ -35,8 +35,6 @@ FORECAST_METHOD = "linear trend (last 12h, damped); univariate, rainfall not mod
 
 # Freshness.
 STALE_MINUTES = 360
-LOOKBACK_HOURS = 6
-MAX_ROWS_PER_FETCH = 10000
 
 # Text of a null in the minted key: the key is built from the Python
 # rendering of the two parts, where a missing part prints as "None".
@@ -51,6 +49,7 @@ ATTRIBUTION = (
     "this uses Environment Agency flood and river level data from the real-time data API (Beta)"
 )
 
-# Stages reported in the run metadata document.
-PIPELINE_STAGES = ("ingest", "build", "test", "publish")
 # --------------------------------------------------------------------------
+
+# Stages reported in the run metadata document (own names).
+PIPELINE_STAGES = ("ingest", "build", "test", "publish")

@@ -5,13 +5,15 @@ Spark has no as-of join. The correlated scalar subquery form
 (``select v from t2 where t2.k = t1.k and t2.ts <= t1.ts - lag order by ts
 desc limit 1``) decorrelates into several exchanges. This rewrite is:
 
-1. newest row per key — an aggregate (``max_by``), combined map-side, so a
-   hot key never sits in one task;
-2. join each row to its key's cutoff — the cutoff side has one row per key;
-   AQE broadcasts it when its measured size is small and otherwise splits
-   skewed partitions of the row side;
-3. newest row at or before the cutoff — again a map-side-combined aggregate,
-   which also carries the newest row's columns, so nothing is joined back.
+1. newest row per key — an aggregate (``max_by``), combined map-side, whose
+   result (one row per key) is written to the shared folder;
+2. join each row to its key's cutoff — both sides are then plain scans, so AQE
+   broadcasts the cutoffs when they are small and can split the rows of a hot
+   key otherwise;
+3. newest row at or before the cutoff — combined in each split of the join,
+   then aggregated by the key wrapped in a struct. That gives the aggregate an exchange
+   of its own: were it to reuse the join's partitioning, the join could not
+   be split.
 
 No window over a key is used, so no task must hold all rows of a key.
 """
@@ -23,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow.session import materialize
 
 def latest_per_key(df: DataFrame, key: Sequence[str], ts: str, tie: str, cols: Sequence[str]) -> DataFrame:
     """Newest row per key (ties on ``ts`` broken by the larger ``tie``)."""
@@ -46,8 +49,8 @@ def asof_lag(
     ``value`` with ``ts <= newest ts - lag`` (null when there is none; with a
     ``tolerance`` the candidate must also be no older than ``cutoff - tolerance``).
 
-    The newest row's columns travel with its cutoff through the join, so a
-    single aggregate yields the whole result (no join back).
+    The newest row's columns stay with the written cutoffs and meet the
+    aggregate (one row per key) at the end.
     """
     key = [key] if isinstance(key, str) else list(key)
     tie = tie or ts
@@ -61,12 +64,15 @@ def asof_lag(
         *[F.col(c).alias(f"_l_{c}") for c in keep],
         (F.col(ts) - F.expr(f"INTERVAL {lag}")).alias("_cut"),
     )
-    cond = F.col(ts) <= F.col("_cut")
+    # The newest row itself is a row of the key: its columns come from the written side.
+    anchor = materialize(anchor, "asof-anchor")
+    rows = df.select(*key, F.col(ts).alias("_ts"), F.col(tie).alias("_tie"), F.col(value).alias("_value"))
+    in_reach = F.col("_ts") <= F.col("_cut")
     if tolerance:
-        cond = cond & (F.col(ts) >= F.col("_cut") - F.expr(f"INTERVAL {tolerance}"))
-    joined = df.select(*key, ts, tie, value).join(anchor, key, "inner")
-    return joined.groupBy(*key).agg(
-        *[F.any_value(f"_l_{c}").alias(c) for c in keep],
-        # max_by skips rows whose ordering is null: only candidates count.
-        F.max_by(F.when(cond, F.col(value)), F.when(cond, F.struct(F.col(ts), F.col(tie)))).alias(out_col),
+        in_reach = in_reach & (F.col("_ts") >= F.col("_cut") - F.expr(f"INTERVAL {tolerance}"))
+    joined = rows.join(anchor.select(*key, "_cut"), key, "inner").where(in_reach)
+    newest = F.max(F.struct("_ts", "_tie", "_value")).alias("_best")
+    best = joined.groupBy(F.struct(*key).alias("_key")).agg(newest).select("_key.*", "_best")
+    return anchor.join(best, key, "left").select(
+        *key, *[F.col(f"_l_{c}").alias(c) for c in keep], F.col("_best._value").alias(out_col)
     )

@@ -7,8 +7,10 @@ steps of ``step_min`` minutes. No forecast when the group has fewer than
 ``min_points`` points in total or in the fit window, or no defined slope
 (all fit points at one instant).
 
-Both passes are aggregates combined map-side; the join of points to their
-group's anchor has one row per group on the small side.
+Both passes are aggregates combined map-side. The anchors (one row per group)
+are written first, and the aggregate behind the join groups by the key wrapped
+in a struct: it then has an exchange of its own, so AQE can split the points
+of a hot group in the join.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.config import DAMPING, FIT_HOURS, FORECAST_HOURS, MIN_POINTS, STEP_MIN
 from gaugeflow.functions.timefns import elapsed_seconds
+from gaugeflow.session import materialize
 
 
 def forecast_model(
@@ -39,14 +42,16 @@ def forecast_model(
         F.max(ts).alias("last_at"),
         F.max_by(F.col(value), F.struct(F.col(ts), F.col(tie))).alias("last_value"),
     )
+    anchor = materialize(anchor, "forecast-anchor")
     fit = (
         pts.join(anchor.select(*group, "last_at"), group, "inner")
         .where(F.col(ts) >= F.col("last_at") - F.expr(f"INTERVAL {int(fit_hours)} HOURS"))
-        .groupBy(*group)
+        .groupBy(F.struct(*group).alias("_group"))
         .agg(
             F.count(F.lit(1)).alias("n_recent"),
             F.regr_slope(F.col(value), elapsed_seconds("last_at", ts)).alias("slope"),
         )
+        .select("_group.*", "n_recent", "slope")
     )
     m = anchor.join(fit, group, "left")
     eligible = (F.col("n_points") >= min_points) & (F.coalesce(F.col("n_recent"), F.lit(0)) >= min_points) & F.col(

@@ -22,11 +22,6 @@ def newest_n(df: DataFrame, n: int, group: str = "station_reference", ts: str =
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def truncated_groups(df: DataFrame, n: int, group: str = "station_reference") -> DataFrame:
-    """Groups that had more than ``n`` rows (the cap dropped some)."""
-    return df.groupBy(group).count().where(F.col("count") > n).select(group, F.col("count").alias("available"))
-
-
 def stamp_batch(df: DataFrame, run_ts_text: str | Column) -> DataFrame:
     """Add ``_ingested_at`` and ``_source_batch_id`` (the same run stamp)."""
     stamp = F.lit(run_ts_text) if isinstance(run_ts_text, str) else run_ts_text

@@ -248,9 +248,9 @@ def q_run_metadata(spark, d):
     summary = checks.summarize(_dq(spark, d, L))
     counts = L.silver.agg(F.count(F.lit(1)).alias("silver_rows"))
     head = metrics.headline_counts(L.latest)
-    ingest_meta = L.bronze.agg(
-        F.count(F.lit(1)).alias("rows_ingested"), F.max(to_ntz("_ingested_at")).alias("last_run_utc")
-    )
+    # The last ingest run: the newest batch stamp and the rows that carry it.
+    batches = L.bronze.groupBy(to_ntz("_ingested_at").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    ingest_meta = batches.agg(F.max_by("n", "at").alias("rows_ingested"), F.max("at").alias("last_run_utc"))
     # One-row aggregates combined as scalar subqueries, each referenced once
     # (fields are taken in a second projection, so no subquery is repeated).
     wide = ingest_meta.select(

@@ -1,9 +1,10 @@
 """Batch ingest run: landed payload files → bronze, plus run metadata.
 
 payload scan → flatten (key minted) → configured stations only → readings
-strictly after ``since`` → optional newest-N cap per station (reported, never
-silent) → stamp → append to bronze by reading date → heartbeat and ingest
-metadata. The metadata document is written even when no row arrived.
+strictly after ``since`` → stamp → append to bronze by reading date → heartbeat and ingest
+metadata. Rows are counted by the write itself (``DataFrame.observe``), so bronze
+is not read back; both documents are written even when no row arrived, and no
+reading is left out of append-only bronze.
 """
 
 from __future__ import annotations
@@ -11,10 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.operators.ingest import newest_n, truncated_groups
 from gaugeflow.sinks.landing import land_bronze, write_heartbeat, write_ingest_meta
 from gaugeflow.sources import dims, payloads
 
@@ -24,7 +24,6 @@ class IngestResult:
     run_ts: str
     since: str
     rows: int
-    truncated: DataFrame
 
 
 def _iso(ts: datetime) -> str:
@@ -38,7 +37,6 @@ def ingest_run(
     config: dict,
     run_ts: datetime,
     hours: int | None = None,
-    max_per_station: int | None = None,
     meta_path: str | None = None,
     stations: DataFrame | None = None,
 ) -> IngestResult:
@@ -54,15 +52,11 @@ def ingest_run(
         flat = dims.pinned_stations(flat, refs)
     # exclusive lower bound on the reading time; rows without a time are kept (silver drops them)
     recent = flat.where(F.col("date_time").isNull() | (F.col("date_time").cast("timestamp_ntz") > F.lit(since).cast("timestamp_ntz")))
-    truncated = spark.createDataFrame([], "station_reference string, available long")
-    if max_per_station:
-        keyed = recent.withColumn("date_time_utc", F.col("date_time").cast("timestamp_ntz"))
-        truncated = truncated_groups(keyed, max_per_station)
-        recent = newest_n(keyed, max_per_station).drop("rank", "date_time_utc")
-    land_bronze(recent, bronze_root, run_text)
-    rows = spark.read.parquet(bronze_root).where(F.col("_source_batch_id") == run_text).count()
+    seen = Observation("ingest")
+    land_bronze(recent.observe(seen, F.count(F.lit(1)).alias("rows")), bronze_root, run_text)
+    rows = int(seen.get.get("rows") or 0)
     write_heartbeat(spark, bronze_root, run_text, rows, f"batch={run_text}")
     if meta_path:
         n_stations = stations.select("station_reference").distinct().count() if stations is not None else len(refs)
         write_ingest_meta(spark, meta_path, run_text, since, rows, n_stations)
-    return IngestResult(run_text, since, rows, truncated)
+    return IngestResult(run_text, since, rows)

@@ -361,7 +361,7 @@ _q(
 _q(
     "run_metadata",
     """SELECT (SELECT max(CAST(_ingested_at AS TIMESTAMP)) FROM bronze) AS last_run_utc,
-       (SELECT count(*) FROM bronze) AS rows_ingested,
+       (SELECT count(*) FROM bronze WHERE CAST(_ingested_at AS TIMESTAMP) = (SELECT max(CAST(_ingested_at AS TIMESTAMP)) FROM bronze)) AS rows_ingested,
        (SELECT count(*) FROM silver) AS silver_rows,
        (SELECT count(*) FROM gold_latest) AS stations,
        (SELECT count_if(above_threshold) FROM gold_latest) AS above_threshold,
@@ -373,7 +373,7 @@ _q(
 _q(
     "run_health",
     """, rm AS (SELECT (SELECT max(CAST(_ingested_at AS TIMESTAMP)) FROM bronze) AS last_run_utc,
-       (SELECT count(*) FROM bronze) AS rows_ingested,
+       (SELECT count(*) FROM bronze WHERE CAST(_ingested_at AS TIMESTAMP) = (SELECT max(CAST(_ingested_at AS TIMESTAMP)) FROM bronze)) AS rows_ingested,
        (SELECT count(*) FROM silver) AS silver_rows,
        (SELECT count(*) FROM gold_latest) AS stations,
        (SELECT count_if(above_threshold) FROM gold_latest) AS above_threshold,

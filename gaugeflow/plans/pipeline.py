@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from gaugeflow.config import BRONZE_EXPORT_DAYS
 from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver
 from gaugeflow.plans import publish as pub
-from gaugeflow.plans.catalog import AS_OF_BRONZE, AS_OF_SERIES
 from gaugeflow.sources import derived
+from gaugeflow.sources.meta import INGEST_META, read_json_or_nulls
 
 
 @dataclass
@@ -35,7 +35,8 @@ class RunResult:
 def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     w = df.write.mode("errorifexists")
     if partition_by:
-        w = w.partitionBy(partition_by)
+        # Rows of one folder meet in few tasks; a large folder is split by AQE.
+        w = df.hint("rebalance", partition_by).write.mode("errorifexists").partitionBy(partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
 
@@ -58,11 +59,17 @@ def run_pipeline(
     spark: SparkSession,
     sf_dir: str,
     root: str,
-    as_of: datetime = AS_OF_SERIES,
-    bronze_as_of: datetime = AS_OF_BRONZE,
+    as_of: datetime | None = None,
+    bronze_as_of: datetime | None = None,
     bronze: DataFrame | None = None,
     dim: DataFrame | None = None,
+    ingest_meta: str | None = None,
 ) -> RunResult:
+    """Clocks default to now (UTC). ``ingest_meta`` is the document of the last
+    ingest run, whose time and row count go into the run metadata (nulls when
+    there is none)."""
+    now = datetime.now(UTC).replace(tzinfo=None)
+    as_of, bronze_as_of = as_of or now, bronze_as_of or now
     run_id = f"run-{uuid.uuid4().hex[:12]}"
     folder = pub.version_path(root, run_id)
     bronze = bronze if bronze is not None else derived.bronze(spark, sf_dir)
@@ -77,12 +84,9 @@ def run_pipeline(
     fc = forecast.forecast_points(series, group="station_reference")
     bronze_window = ingest.bronze_window(bronze, bronze_as_of, BRONZE_EXPORT_DAYS)
     meta = (
-        bronze.agg(
-            F.count(F.lit(1)).alias("rows_ingested"),
-            F.max(F.col("_ingested_at").cast("timestamp_ntz")).alias("last_run_utc"),
-        )
+        (read_json_or_nulls(spark, ingest_meta, INGEST_META) if ingest_meta else spark.createDataFrame([(None,) * len(INGEST_META)], INGEST_META))
         .select(
-            "last_run_utc",
+            F.col("last_ingest_utc").cast("timestamp_ntz").alias("last_run_utc"),
             "rows_ingested",
             s.agg(F.count(F.lit(1))).scalar().alias("silver_rows"),
             latest.agg(F.count(F.lit(1))).scalar().alias("stations"),

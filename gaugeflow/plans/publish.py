@@ -25,16 +25,20 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically (temporary name, then rename)."""
-    jvm = spark.sparkContext._jvm
+    """Write a small text file atomically: a temporary name, then one rename
+    that replaces the old file (an error leaves the old file as it was)."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     p, fs = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), how)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -79,6 +83,19 @@ def run_concurrently(actions: list, max_workers: int = 4) -> list:
         return [f.result() for f in futures]
 
 
+def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
+    """Delete all but the ``keep`` newest version folders; the published one
+    always stays, so readers of the pointer lose nothing."""
+    current = current_version(spark, root)
+    p, fs = _fs(spark, f"{root.rstrip('/')}/versions")
+    if not fs.exists(p):
+        return
+    folders = sorted(fs.listStatus(p), key=lambda f: -f.getModificationTime())
+    for f in folders[keep:]:
+        if current is None or f.getPath().getName() != current.rsplit("/", 1)[-1]:
+            fs.delete(f.getPath(), True)
+
+
 def read_published(spark: SparkSession, root: str, artifact: str, fmt: str = "parquet") -> DataFrame:
     """An artifact of the version the pointer names (last-known-good)."""
     folder = current_version(spark, root)

@@ -49,7 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins. Only when nothing is configured (local
-    runs and tests) a scratch folder is created and registered.
+    runs and tests) a scratch folder is created and registered; on a cluster a
+    missing setting is an error, because executors do not see the driver's disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="gaugeflow-ckpt-")
     sc.setCheckpointDir(configured)

@@ -30,12 +30,30 @@ BRONZE_FIELDS = (
 )
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Column ``json``: the documents of all files below ``path``. A file holds
+    one document per line, or one document over several lines (as an API may
+    return it); a file with any line that is no document is of the second
+    kind and is taken whole, so nothing is lost to line breaks."""
+    lines = spark.read.text(path).select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("file"))
+    lines = lines.where(F.trim("json") != "")
+    whole = F.try_parse_json("json").isNotNull() & F.ltrim("json").rlike(r"^[{\[]")
+    kinds = lines.groupBy("file").agg(F.count_if(~whole).alias("broken"))
+    files = spark.read.text(path, wholetext=True)
+    files = files.select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("file")).join(kinds, "file")
+    # The test names ``broken``, so it stays behind the join: only files taken whole are held to it.
+    bad = (F.col("broken") > 0) & F.try_parse_json("json").isNull()
+    message = F.concat(F.lit("not a JSON document: "), F.col("file"))
+    sound = F.when(bad, F.raise_error(message)).otherwise(F.col("json")).alias("json")
+    return lines.join(kinds, "file").where("broken = 0").select("json").union(files.where("broken > 0").select(sound))
+
+
 def read_reading_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(READING_PAYLOAD).json(path)
+    return parse_reading_payloads(read_documents(spark, path))
 
 
 def read_station_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STATION_PAYLOAD).json(path)
+    return parse_station_payloads(read_documents(spark, path))
 
 
 def parse_reading_payloads(text: DataFrame, col: str = "json") -> DataFrame:

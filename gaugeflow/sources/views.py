@@ -8,7 +8,7 @@ LAYER_VIEWS = {
     "gold_station_latest": "gold_station_latest",
     "gold_series": "gold_series",
     "silver_readings": "silver",
-    "bronze": "bronze",
+    "bronze": "bronze_window",
 }
 
 
@@ -18,7 +18,12 @@ def register_layers(tables: dict[str, DataFrame]) -> None:
 
 
 def register_published(spark: SparkSession, root: str, layers: dict[str, str] | None = None) -> None:
-    """``CREATE VIEW <name> AS SELECT * FROM parquet.`<root>/<layer>``` for each layer."""
+    """``CREATE VIEW <name> AS SELECT * FROM parquet.`<folder>/<layer>``` for each
+    layer. ``root`` is a publish root, whose pointer names the folder, or a
+    folder of layers itself."""
+    from gaugeflow.plans.publish import current_version
+
+    root = current_version(spark, root) or root
     for view, layer in (layers or LAYER_VIEWS).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT * FROM parquet.`{root.rstrip('/')}/{layer}`")
 

@@ -36,9 +36,11 @@ def stamp_from_file(df: DataFrame) -> DataFrame:
 
 
 def write_bronze_batch(batch: DataFrame, bronze_root: str) -> None:
-    """Dynamic overwrite of exactly the ``(dt, batch)`` partitions present."""
+    """Dynamic overwrite of exactly the ``(dt, batch)`` partitions present. Rows
+    are clustered by folder first (a large folder is split by AQE)."""
     (
-        batch.write.mode("overwrite")
+        batch.hint("rebalance", "dt", "batch")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "batch")
         .parquet(bronze_root)

@@ -33,6 +33,7 @@ def touched_dates(typed: DataFrame) -> list:
 
 def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str) -> DataFrame | None:
     typed = typed_readings(batch.select(*BRONZE.fieldNames())).withColumn("reading_date", F.to_date("date_time_utc"))
+    typed = materialize(typed, "micro-batch")  # read by the date list, the merge and the touched measures
     dates = touched_dates(typed)
     if not dates:
         return None
@@ -50,6 +51,7 @@ def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str)
     out = materialize(out, "silver-merge")
     (
         out.select(*SILVER_STORED)
+        .hint("rebalance", "reading_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("reading_date")
@@ -59,23 +61,24 @@ def merge_silver_batch(spark: SparkSession, batch: DataFrame, silver_root: str)
 
 
 def refresh_latest_batch(
-    spark: SparkSession, silver_root: str, latest_root: str, touched_measures: DataFrame, dim: DataFrame
+    spark: SparkSession, silver_root: str, latest_root: str, touched_measures: DataFrame, dim: DataFrame | None
 ) -> None:
     """Recompute the gold latest rows (latest value, as-of value, change,
     threshold) of the measures a micro-batch touched, from all of their
     silver history, and replace those measures' rows in the latest table
     (a new version behind a pointer; see :func:`read_latest`).
     Exact under any lateness or replay: untouched measures keep their row,
-    touched ones are rebuilt from silver as a batch build would."""
+    touched ones are rebuilt from silver as a batch build would. Without
+    ``dim`` the table holds the newest stage reading only."""
     from gaugeflow.operators.gold import gold_latest
 
     import uuid
 
-    from gaugeflow.plans.publish import current_version, publish, version_path
+    from gaugeflow.plans.publish import current_version, expire_versions, publish, version_path
 
     touched = materialize(touched_measures, "touched-measures")
     history = read_silver(spark, silver_root).join(touched, "measure", "left_semi")
-    fresh = gold_latest(history, dim)
+    fresh = gold_latest(history, dim) if dim is not None else latest_aggregation(history)
     previous = current_version(spark, latest_root)
     if previous is not None:
         kept = spark.read.parquet(previous).join(touched, "measure", "left_anti")
@@ -85,6 +88,7 @@ def refresh_latest_batch(
     run_id = f"latest-{uuid.uuid4().hex[:12]}"
     fresh.write.parquet(version_path(latest_root, run_id))
     publish(spark, latest_root, run_id, True)
+    expire_versions(spark, latest_root)
 
 
 def read_latest(spark: SparkSession, latest_root: str) -> DataFrame:
@@ -139,7 +143,7 @@ def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
 
 
 def latest_aggregation(silver_rows: DataFrame) -> DataFrame:
-    """Newest stage reading per measure as a streaming aggregate."""
+    """Newest stage reading per measure."""
     st = stage_rows(silver_rows)
     best = F.max_by(
         F.struct("reading_id", "station_reference", "date_time_utc", "value"),
@@ -154,27 +158,17 @@ def latest_aggregation(silver_rows: DataFrame) -> DataFrame:
     )
 
 
-def _publish_version(df: DataFrame, root: str, epoch: int) -> None:
-    """Write one complete version and flip the pointer (a replayed epoch
-    writes a fresh folder and flips again: same content)."""
-    import uuid
-
-    from gaugeflow.plans.publish import publish, version_path
-
-    run_id = f"epoch-{epoch:09d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(version_path(root, run_id))
-    publish(df.sparkSession, root, run_id, True)
-
-
 def start_latest(spark: SparkSession, silver_root: str, out_root: str, checkpoint: str):
-    """Running latest-per-measure over silver files; each trigger publishes a
-    complete version behind a pointer (read it with :func:`read_latest`)."""
+    """Latest stage reading per measure, kept current from silver files. A
+    micro-batch names the measures it touches; their rows are rebuilt from
+    stored silver, so a value that silver withdraws leaves the table too. Read
+    it with :func:`read_latest`."""
     src = spark.readStream.schema(_stored_schema()).parquet(silver_root)
-    agg = latest_aggregation(src)
     return (
-        agg.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, epoch: _publish_version(df, out_root, epoch))
+        src.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(
+            lambda df, _epoch: refresh_latest_batch(spark, silver_root, out_root, df.select("measure").distinct(), None)
+        )
         .trigger(availableNow=True)
         .start()
     )

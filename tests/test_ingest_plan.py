@@ -3,6 +3,8 @@
 import json
 import os
 import tempfile
+import pytest
+
 from datetime import datetime
 
 from gaugeflow.plans.ingest import ingest_run
@@ -32,12 +34,39 @@ def test_ingest_run(spark):
         f.write(json.dumps({"requested_station": "9999", "items": other}) + "\n")
     cfg = dims.parse_station_config(CONFIG)
     run = datetime(2026, 6, 14, 12, 0, 0)
-    r = ingest_run(spark, f"{base}/in", f"{base}/bronze", cfg, run, max_per_station=3, meta_path=f"{base}/ingest_meta.json")
+    r = ingest_run(spark, f"{base}/in", f"{base}/bronze", cfg, run, meta_path=f"{base}/ingest_meta.json")
     assert r.since == "2026-06-14T06:00:00Z"
-    # 07:00..11:00 are after the exclusive 06:00 bound (5 rows); the cap keeps the newest 3
-    assert r.rows == 3
-    assert [(t.station_reference, t.available) for t in r.truncated.collect()] == [("4009", 5)]
+    # 07:00..11:00 are after the exclusive 06:00 bound: all 5 rows land
+    assert r.rows == 5
     m = meta.read_json_or_nulls(spark, f"{base}/ingest_meta.json", meta.INGEST_META).first()
-    assert m.rows_ingested == 3 and m.stations == 2 and m.last_ingest_utc == "2026-06-14T12:00:00Z"
+    assert m.rows_ingested == 5 and m.stations == 2 and m.last_ingest_utc == "2026-06-14T12:00:00Z"
     hb = meta.read_json_or_nulls(spark, f"{base}/bronze/_latest.json", meta.INGEST_META).first()
     assert hb.last_ingest_utc == "2026-06-14T12:00:00Z"
+
+
+def test_empty_ingest_writes_its_documents(spark):
+    base = tempfile.mkdtemp(prefix="gf-ingest-empty-")
+    os.makedirs(f"{base}/in")
+    with open(f"{base}/in/p.json", "w") as f:
+        f.write(json.dumps({"requested_station": "4009", "items": []}, indent=2))
+    r = ingest_run(spark, f"{base}/in", f"{base}/bronze", {}, datetime(2026, 6, 14, 12), meta_path=f"{base}/meta.json")
+    assert r.rows == 0
+    m = meta.read_json_or_nulls(spark, f"{base}/meta.json", meta.INGEST_META).first()
+    assert m.rows_ingested == 0 and m.last_ingest_utc == "2026-06-14T12:00:00Z"
+
+
+def test_documents_over_lines_and_per_line(spark):
+    from gaugeflow.sources import payloads
+
+    base = tempfile.mkdtemp(prefix="gf-docs-")
+    doc = lambda n: {"requested_station": "1", "items": [{"measure": "m", "dateTime": f"2026-06-14T{n:02d}:00:00Z", "value": n}]}
+    with open(f"{base}/indented.json", "w") as f:
+        f.write(json.dumps(doc(1), indent=4))
+    with open(f"{base}/lines.json", "w") as f:
+        f.write(json.dumps(doc(2)) + "\n\n" + json.dumps(doc(3)) + "\n")
+    flat = payloads.flatten_readings(payloads.read_reading_payloads(spark, base))
+    assert sorted(r["date_time"] for r in flat.collect()) == [f"2026-06-14T0{n}:00:00Z" for n in (1, 2, 3)]
+    with open(f"{base}/broken.json", "w") as f:
+        f.write('{"items": [')
+    with pytest.raises(Exception, match="not a JSON document"):
+        payloads.read_reading_payloads(spark, base).collect()
