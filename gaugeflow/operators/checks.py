@@ -2,11 +2,11 @@
 
 A check is a small spec; :func:`run_checks` turns a list of specs into one
 DataFrame of results ``(test_id, model, column_name, test_type, severity,
-failures, status)``. All ``not_null`` checks of a table are answered by ONE
-aggregation over it; ``accepted_values`` filters to the offending rows first
-(the ``NOT IN`` reaches the scan; offending rows are rare) and counts their
-distinct values, which avoids the row-multiplying ``Expand`` that several
-distinct aggregates in one pass would need; ``unique`` is a grouped count
+failures, status)``. All ``not_null`` and ``accepted_values`` checks of a table
+come from ONE pass over it: rows are grouped by their offending values (nulls
+where a value is accepted, so the groups are as few as the offending
+combinations), and a second aggregate over those groups sums the nulls and counts the
+distinct offending values. ``unique`` is a grouped count
 (combined map-side); ``relationships`` is an anti join on non-null keys.
 Failures follow the usual conventions: rows for ``not_null`` and
 ``relationships``, offending keys for ``unique``, offending distinct values
@@ -55,8 +55,19 @@ DEFAULT_CHECKS = (
 )
 
 
-def _single_pass_failures(df: DataFrame, checks: list[Check]) -> dict[str, Column]:
-    return {c.test_id: F.count_if(F.col(c.column).isNull()) for c in checks if c.kind == "not_null"}
+def _single_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row with ``f0, f1, ...``: the failures of the checks, in order."""
+    offending, nulls, totals = [], [], []
+    for i, c in enumerate(checks):
+        col = F.col(c.column)
+        if c.kind == "accepted_values":
+            offending.append(F.when(~col.isin(*c.values), col).alias(f"v{i}"))
+            totals.append(F.count_distinct(f"v{i}").alias(f"f{i}"))
+        else:
+            nulls.append(F.count_if(col.isNull()).alias(f"n{i}"))
+            totals.append(F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"f{i}"))
+    groups = df.groupBy(*offending).agg(*(nulls or [F.count(F.lit(1)).alias("n")]))
+    return groups.agg(*totals)
 
 
 def _result_row(spark_df: DataFrame, c: Check, failures: Column) -> DataFrame:
@@ -81,20 +92,14 @@ def run_checks(tables: dict[str, DataFrame], checks: tuple[Check, ...] = DEFAULT
         by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
         df = tables[model]
-        single = [c for c in cs if c.kind == "not_null"]
+        single = [c for c in cs if c.kind in ("not_null", "accepted_values")]
         if single:
-            # One aggregation pass answers every not_null / accepted_values
-            # check of the table; its one row is unpivoted into result rows.
-            aggs = _single_pass_failures(df, single)
-            wide = df.agg(*[v.alias(f"f{i}") for i, v in enumerate(aggs.values())])
+            # The pass's one row is unpivoted into result rows.
+            wide = _single_pass(df, single)
             rows = F.array(*[_result_struct(c, F.col(f"f{i}")) for i, c in enumerate(single)])
             parts.append(wide.select(F.explode(rows).alias("r")).select("r.*"))
         for c in cs:
-            if c.kind == "accepted_values":
-                col = F.col(c.column)
-                bad = df.where(col.isNotNull() & ~col.isin(*c.values)).agg(F.count_distinct(col).alias("f"))
-                parts.append(_result_row(bad, c, F.col("f")))
-            elif c.kind == "unique":
+            if c.kind == "unique":
                 dup = (
                     df.where(F.col(c.column).isNotNull())
                     .groupBy(c.column)

@@ -2,8 +2,8 @@
 and the gold value.
 
 Everything is keyed joins and aggregates on ``reading_id``. The per-key
-copy summary (count, first / last ingest) is a map-side-combined aggregate,
-so a key with a huge number of copies never lands whole in one task. The
+copy summary (count, first / last ingest) is a map-side-combined aggregate
+that comes before any join, so a key with a huge number of copies never lands whole in one task. The
 raw copies themselves are kept as rows (:func:`lineage_records`), ordered on
 write by a range partitioning on ``(reading_id, ingested_at)``; they are not
 gathered into one array per key.
@@ -46,24 +46,33 @@ def semi_in(df: DataFrame, keys: DataFrame, key: str = "reading_id") -> DataFram
     return df.join(keys.select(key), key, "left_semi")
 
 
-def bronze_of_series(bronze: DataFrame, series: DataFrame) -> DataFrame:
-    """Bronze copies of plotted keys. Every copy of a key shares its reading
-    date (the key contains the reading time), so with a ``dt`` partition
-    column the bound ``dt >= date(first plotted time)`` is exact in both
-    layouts (a run date is never before the reading date); it is a scalar
-    subquery that Spark evaluates before listing partitions."""
-    if "dt" in bronze.columns:
+def dated(bronze: DataFrame, series: DataFrame, by: str = "reading") -> DataFrame:
+    """Bronze rows that may be copies of plotted keys.
+
+    With a ``dt`` partition column, folders before the first plotted reading's
+    date are left out by a scalar subquery, which Spark evaluates before
+    listing partitions. That is exact where ``dt`` is the reading date (every copy of
+    a key shares it); in the run-date layout (``by='run'``) a reading may be
+    stamped after its run date, so all folders are read."""
+    if "dt" in bronze.columns and by == "reading":
         first = series.agg(F.min("date_time_utc")).scalar()
-        bronze = bronze.where(F.col("dt") >= F.to_date(first))
-    return semi_in(bronze, series)
+        bronze = bronze.where(F.col("dt").isNull() | (F.col("dt") >= F.to_date(first)))
+    return bronze
+
+
+def bronze_of_series(bronze: DataFrame, series: DataFrame, by: str = "reading") -> DataFrame:
+    """Bronze copies of plotted keys, one row per copy."""
+    return semi_in(dated(bronze, series, by), series)
 
 
-def lineage_flat(bronze: DataFrame, silver: DataFrame, series: DataFrame) -> DataFrame:
+def lineage_flat(bronze: DataFrame, silver: DataFrame, series: DataFrame, by: str = "reading") -> DataFrame:
     """One row per gold-series key: copies, ingest span, kept silver row, gold value."""
     gold = series.select(
         "reading_id", "station_reference", "station_label", "date_time_utc", F.col("value").alias("gold_value"), "unit_name"
     )
-    copies = copy_summary(bronze_of_series(bronze, series))
+    # Copies are combined before the join, map-side first: a key with very many
+    # copies reaches it as one row.
+    copies = semi_in(copy_summary(dated(bronze, series, by)), series)
     kept = semi_in(silver, series).select(
         "reading_id",
         F.col("value").alias("silver_value"),
