@@ -394,6 +394,28 @@ def q_ingest_run(spark, d):
     return b.select("reading_id", "station_reference", "date_time", try_double("value").alias("value"), "_ingested_at", "batch")
 
 
+def q_stream_bronze(spark, d):
+    """Payload files from ``events`` landed by the stream: the bronze rows."""
+    from gaugeflow.sources import payloads
+    from gaugeflow.streaming.bronze_stream import start_ingest
+
+    base = scratch_path(spark, "stream-bronze")
+    payloads.reading_payload_text(derived.load(spark, d, "events")).write.text(f"{base}/payloads")
+    start_ingest(spark, f"{base}/payloads", f"{base}/bronze", f"{base}/_chk", max_files=48).awaitTermination()
+    b = spark.read.parquet(f"{base}/bronze").withColumn("value", try_double("value"))
+    return b.select(*payloads.BRONZE_FIELDS)
+
+
+def q_landed_run_date(spark, d):
+    """Bronze landed by run date (one folder per run), read back."""
+    from gaugeflow.sinks.landing import land_bronze
+
+    root = scratch_path(spark, "landing-run")
+    b = derived.bronze(spark, d).drop("_ingested_at", "_source_batch_id")
+    land_bronze(b, root, "2024-02-01T00:00:00Z", by="run")
+    return spark.read.parquet(root).groupBy("dt", "batch").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def q_stream_gold_latest(spark, d):
     """Gold latest table (with the 24 h as-of) kept current by the silver
     stream, over bronze files landed from ``events``."""
@@ -458,4 +480,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineage_lookup": q_lineage_lookup,
     "ingest_run": q_ingest_run,
     "stream_gold_latest": q_stream_gold_latest,
+    "stream_bronze": q_stream_bronze,
+    "landed_run_date": q_landed_run_date,
 }

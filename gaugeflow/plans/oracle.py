@@ -458,6 +458,11 @@ _q(
        count(*) AS rows
      FROM bronze GROUP BY 1, 2""",
 )
+_SQL["stream_bronze"] = _SQL["flatten_payload"]
+_q(
+    "landed_run_date",
+    "SELECT DATE '2024-02-01' AS dt, 'batch_20240201T000000Z' AS batch, count(*) AS rows FROM bronze",
+)
 _q("lineage_lookup", LINEAGE_FLAT)
 _q("stream_gold_latest", "SELECT * FROM gold_latest")
 _q(

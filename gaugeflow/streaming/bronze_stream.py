@@ -48,16 +48,25 @@ def write_bronze_batch(batch: DataFrame, bronze_root: str) -> None:
 
 
 def landed_stream(spark: SparkSession, payload_dir: str, max_files: int | None = None) -> DataFrame:
-    """Streaming bronze rows (with ``dt`` / ``batch``) from payload files."""
-    r = spark.readStream.schema(READING_PAYLOAD)
+    """Streaming bronze rows (with ``dt`` / ``batch``) from payload files. A
+    file is one document, over any number of lines, or one document per line;
+    text that is neither stops the stream."""
+    r = spark.readStream
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    raw = r.json(payload_dir).select(
-        "requested_station",
-        "items",
+    files = r.text(payload_dir, wholetext=True).select(
+        "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_file_mtime"),
     )
+    # JSON parsers stop behind the first document, so lines are tried first.
+    parts = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    per_line = F.forall(parts, lambda x: F.try_parse_json(x).isNotNull() & F.ltrim(x).rlike(r"^[{\[]"))
+    documents = F.explode(F.when(per_line, parts).otherwise(F.array("value")))
+    lines = files.select(documents.alias("json"), "_file", "_file_mtime")
+    message = F.concat(F.lit("not a JSON document: "), F.col("_file"))
+    sound = F.when(F.try_parse_json("json").isNotNull(), F.col("json")).otherwise(F.raise_error(message))
+    raw = lines.select(F.from_json(sound, READING_PAYLOAD).alias("p"), "_file", "_file_mtime").select("p.*", "_file", "_file_mtime")
     return stamp_from_file(flatten_readings(raw, keep=("_file", "_file_mtime")))
 
 
