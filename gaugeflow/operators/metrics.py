@@ -103,9 +103,10 @@ def primary_series(series: DataFrame, primary: str) -> DataFrame:
             F.max(F.when(F.col("station_reference") == primary, F.col("station_reference"))).alias("p"),
             F.min("station_reference").alias("first"),
         )
-        .select(F.coalesce("p", "first").alias("station_reference"))
+        .select(F.coalesce("p", "first"))
     )
-    return series.join(chosen, "station_reference", "left_semi")
+    # A scalar subquery: the equality reaches the Parquet scan at run time.
+    return series.where(F.col("station_reference") == chosen.scalar())
 
 
 def freshness(df: DataFrame, ts_col: str, now: datetime | None, group: str | None = None) -> DataFrame:

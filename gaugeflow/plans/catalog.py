@@ -62,6 +62,29 @@ def layers(spark: SparkSession, sf_dir: str, materialize: bool = True, materiali
     return Layers(b, dim, s, series, latest)
 
 
+#: What the latest table reads of silver.
+STAGE_READ = (
+    "reading_id", "measure", "station_reference", "station_label", "parameter", "qualifier", "unit_name",
+    "date_time_utc", "value", "quality_flag",
+)
+
+
+def stage_table(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = STAGE_READ) -> DataFrame:
+    """The stage rows of silver, filtered and pruned before they are written:
+    the as-of reads them twice, nothing needs the rest of silver."""
+    rows = gold.stage_rows(layers(spark, sf_dir, materialize=False).silver)
+    return materialize_table(rows.select(*columns), "stage")
+
+
+def latest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.gold_latest(stage_table(spark, sf_dir), derived.stations(spark, sf_dir))
+
+
+def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold series alone, written once for consumers that read it twice."""
+    return materialize_table(layers(spark, sf_dir, materialize=False).series, "series")
+
+
 def q_mint_reading_id(spark, d):
     b = derived.bronze(spark, d)
     return b.select("measure", "date_time", "reading_id").distinct()
@@ -108,12 +131,12 @@ def q_gold_series_30d(spark, d):
 
 
 def q_gold_station_latest(spark, d):
-    return layers(spark, d).latest
+    return latest_table(spark, d)
 
 
 def _asof(lag):
     def q(spark, d):
-        st = gold.stage_rows(layers(spark, d).silver)
+        st = stage_table(spark, d, ("reading_id", "measure", "date_time_utc", "value"))
         r = asof_lag(st, "measure", "date_time_utc", "value", lag=lag, tie="reading_id",
                      cols=["measure", "date_time_utc"], out_col="value_lag")
         return r.select("measure", F.col("date_time_utc").alias("latest_at"), "value_lag")
@@ -122,15 +145,15 @@ def _asof(lag):
 
 
 def q_threshold_flags(spark, d):
-    return layers(spark, d).latest.select("station_reference", "measure", "latest_value", "threshold", "above_threshold")
+    return latest_table(spark, d).select("station_reference", "measure", "latest_value", "threshold", "above_threshold")
 
 
 def q_above_threshold_count(spark, d):
-    return metrics.headline_counts(layers(spark, d).latest)
+    return metrics.headline_counts(latest_table(spark, d))
 
 
 def q_headline_ordered(spark, d):
-    return metrics.headline_ordered(layers(spark, d).latest)
+    return metrics.headline_ordered(latest_table(spark, d))
 
 
 def q_bronze_window_90d(spark, d):
@@ -170,22 +193,22 @@ def _by_reach(series: DataFrame) -> DataFrame:
 
 
 def q_forecast_points(spark, d):
-    return forecast.forecast_points(_by_reach(layers(spark, d).series), group="reach")
+    return forecast.forecast_points(_by_reach(series_table(spark, d)), group="reach")
 
 
 def q_forecast_points_by_station(spark, d):
     """Forecast grouped by station, as the dashboard publishes it."""
-    return forecast.forecast_points(layers(spark, d).series, group="station_reference")
+    return forecast.forecast_points(series_table(spark, d), group="station_reference")
 
 
 def q_series_with_forecast(spark, d):
-    s = _by_reach(layers(spark, d).series)
+    s = _by_reach(series_table(spark, d))
     fc = forecast.forecast_points(s, group="reach")
     return metrics.extent_with_forecast(s, fc, group="reach")
 
 
 def q_forecast_guard(spark, d):
-    m = forecast.forecast_model(layers(spark, d).series, group="station_reference")
+    m = forecast.forecast_model(series_table(spark, d), group="station_reference")
     return m.select("station_reference", "n_points", "n_recent", "eligible")
 
 
@@ -203,7 +226,7 @@ def q_reflag_threshold(spark, d):
 
 
 def q_primary_series(spark, d):
-    return metrics.primary_series(layers(spark, d).series, PRIMARY_STATION)
+    return metrics.primary_series(series_table(spark, d), PRIMARY_STATION)
 
 
 def _dq(spark, d, L: Layers | None = None):
@@ -232,8 +255,8 @@ def q_orphan_stations(spark, d):
 
 def q_station_grain_conflicts(spark, d):
     return (
-        layers(spark, d)
-        .latest.groupBy("station_reference")
+        latest_table(spark, d)
+        .groupBy("station_reference")
         .agg(F.count(F.lit(1)).alias("n_measures"))
         .where(F.col("n_measures") > 1)
     )
