@@ -46,6 +46,21 @@ SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.v, CASE WHEN low >= 0
 FROM u JOIN h6 USING (host) LEFT JOIN best ON u.page_id IS NOT DISTINCT FROM best.page_id AND u.host = best.host AND u.path = best.path
 """
 
+OP3 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * k >= 80 * (nx.n + ny.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT e.x, r.root FROM r JOIN e ON r.doc_id = e.y)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, coalesce(min(r.root), d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN r ON d.doc_id = r.doc_id GROUP BY d.doc_id
+"""
+
 OP7 = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS x FROM pages),
 b AS (SELECT page_id, strlen(body) AS n, min(page_id) OVER (PARTITION BY body) AS first_page,
@@ -115,4 +130,4 @@ SELECT conv_id, call_id, turn, level::INTEGER AS level, status,
 FROM j
 """
 
-ORACLE_SQL = {"op2_maxscore": OP2, "op10_tool_calls": OP10, "op1_url_reputation": OP1, "op7_warc_archive": OP7, "op8_curriculum_mix": OP8}
+ORACLE_SQL = {"op2_maxscore": OP2, "op3_ngram_jaccard": OP3, "op10_tool_calls": OP10, "op1_url_reputation": OP1, "op7_warc_archive": OP7, "op8_curriculum_mix": OP8}
