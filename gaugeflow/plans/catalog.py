@@ -8,9 +8,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gaugeflow.functions.keys import mint_reading_id
 from gaugeflow.functions.timefns import to_ntz
 from gaugeflow.functions.values import try_double
 from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver, trace
@@ -28,6 +29,7 @@ LOOKBACK_SINCE = "2024-01-29T18:00:00Z"
 REFLAG_THRESHOLD = 30.0
 PRIMARY_STATION = "7"
 NEWEST_N = 10
+MONTH_FIT_HOURS = 720
 
 
 @dataclass
@@ -454,6 +456,140 @@ def q_stream_gold_latest(spark, d):
     return silver_stream.read_latest(spark, f"{base}/latest")
 
 
+def q_payload_files(spark, d):
+    """Station payload documents written indented, one file each, and read back
+    whole: every station of ``supplier``."""
+    from gaugeflow.sources import payloads
+
+    base = scratch_path(spark, "payload-files")
+    one_line = payloads.station_payload_text(derived.load(spark, d, "supplier"), keep=("s_suppkey",))
+    # A break before every member and item: no line of a file is a document by itself.
+    indented = one_line.withColumn("json", F.regexp_replace("json", r'([{,\[])(["{])', "$1\n  $2"))
+    indented.write.partitionBy("s_suppkey").text(base)
+    return payloads.discover_stations(payloads.read_station_payloads(spark, base))
+
+
+def q_dim_csv(spark, d):
+    """The station dimension written as CSV and read with its declared schema."""
+    from gaugeflow.sources import dims
+
+    path = scratch_path(spark, "dim-csv")
+    derived.stations(spark, d).write.option("header", "true").csv(path)
+    return dims.read_dim_csv(spark, path)
+
+
+def q_ingest_empty(spark, d):
+    """A batch run for a station that no payload names: both documents are
+    written, with zero rows."""
+    from gaugeflow.plans.ingest import ingest_run
+    from gaugeflow.sources import payloads
+    from gaugeflow.sources.meta import INGEST_META, read_json_or_nulls
+
+    base = scratch_path(spark, "ingest-empty")
+    payloads.reading_payload_text(derived.load(spark, d, "events")).write.text(f"{base}/payloads")
+    config = {"stations": [{"station_reference": "no such station"}]}
+    ingest_run(
+        spark, f"{base}/payloads", f"{base}/bronze", config, INGEST_RUN_TS,
+        hours=INGEST_LOOKBACK_HOURS, meta_path=f"{base}/meta.json",
+    )
+    return read_json_or_nulls(spark, f"{base}/meta.json", INGEST_META).drop("attribution")
+
+
+def q_lineage_records(spark, d):
+    L = layers(spark, d, materialize=False)
+    return lineage.lineage_records(L.bronze, L.series)
+
+
+def q_lineage_documents(spark, d):
+    """The lineage documents encoded as JSON, decoded again field by field."""
+    L = layers(spark, d)
+    docs = lineage.lineage_json(lineage.lineage_nested(L.bronze, L.silver, L.series))
+    at = lambda path, kind="string": F.get_json_object("json", path).cast(kind)
+    return docs.select(
+        at("$.reading_id").alias("reading_id"),
+        at("$.station_reference").alias("station_reference"),
+        at("$.date_time_utc").alias("date_time_utc"),
+        at("$.bronze.copies", "long").alias("copies"),
+        at("$.bronze.first_ingested_at").alias("first_ingested_at"),
+        at("$.bronze.last_ingested_at").alias("last_ingested_at"),
+        at("$.silver.value", "double").alias("silver_value"),
+        at("$.silver.quality_flag").alias("quality_flag"),
+        at("$.silver.ingested_at").alias("kept_ingested_at"),
+        at("$.gold.value", "double").alias("gold_value"),
+        at("$.gold.unit_name").alias("unit_name"),
+    )
+
+
+def _traced_key(L: Layers) -> str:
+    """The most copied plotted key as pasted text, with stray marks around it
+    (one value; empty when nothing is plotted)."""
+    row = trace.most_copied_plotted_key(L.bronze, L.series).first()
+    return f" {{{row['reading_id']}}} " if row else ""
+
+
+def q_trace_by_id(spark, d):
+    L = layers(spark, d)
+    return trace.trace_by_id(L.bronze, L.silver, L.series, _traced_key(L))
+
+
+def q_trace_records(spark, d):
+    """The bronze copies of one literal key."""
+    L = layers(spark, d)
+    return trace.trace_records(L.bronze, _traced_key(L))
+
+
+def q_series_stored_order(spark, d):
+    """The gold series written in its physical order, read back with every row's
+    position: ordinal over the files in name order. A running sum over file
+    counts gives the offsets, so no task sorts or numbers all rows."""
+    path = scratch_path(spark, "series-order")
+    gold.sort_series_for_write(layers(spark, d, materialize=False).series).write.parquet(path)
+    stored = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    sizes = stored.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("file", before.alias("offset"))
+    position = (F.col("offset") + F.col("row") + 1).cast("long").alias("position")
+    return stored.join(offsets, "file").select("reading_id", "station_reference", "date_time_utc", position)
+
+
+def q_forecast_station_month(spark, d):
+    """Forecast per station with a fit over the whole 30-day window."""
+    return forecast.forecast_points(series_table(spark, d), group="station_reference", fit_hours=MONTH_FIT_HOURS)
+
+
+def q_dq_offending_values(spark, d):
+    """The checks over silver with a parameter outside the accepted values."""
+    L = layers(spark, d, materialize_latest=True)
+    renamed = F.when(F.col("parameter") == "flow", "discharge").otherwise(F.col("parameter"))
+    return _dq(spark, d, Layers(L.bronze, L.dim, L.silver.withColumn("parameter", renamed), L.series, L.latest))
+
+
+def _one_measure_per_station(bronze: DataFrame) -> DataFrame:
+    """Bronze in which the checks pass: a station has one measure."""
+    b = bronze.withColumn("measure", F.concat(F.lit("user-"), "station_reference"))
+    return b.withColumn("reading_id", mint_reading_id("measure", "date_time"))
+
+
+def _published(spark, d, *bronzes: DataFrame) -> DataFrame:
+    from gaugeflow.plans import pipeline, publish
+
+    root = scratch_path(spark, "published")
+    for b in bronzes:
+        pipeline.run_pipeline(spark, d, root, as_of=AS_OF_SERIES, bronze_as_of=AS_OF_BRONZE, bronze=b)
+    return publish.read_published(spark, root, "gold_station_latest")
+
+
+def q_published_latest(spark, d):
+    """The latest table that readers of the pointer see after a good run."""
+    return _published(spark, d, _one_measure_per_station(derived.bronze(spark, d)))
+
+
+def q_published_after_failed_run(spark, d):
+    """A good run, then one whose checks fail: readers still see the good one."""
+    b = derived.bronze(spark, d)
+    return _published(spark, d, _one_measure_per_station(b), b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -505,4 +641,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_gold_latest": q_stream_gold_latest,
     "stream_bronze": q_stream_bronze,
     "landed_run_date": q_landed_run_date,
+    "payload_files": q_payload_files,
+    "dim_csv": q_dim_csv,
+    "ingest_empty": q_ingest_empty,
+    "lineage_records": q_lineage_records,
+    "lineage_documents": q_lineage_documents,
+    "trace_by_id": q_trace_by_id,
+    "trace_records": q_trace_records,
+    "series_stored_order": q_series_stored_order,
+    "forecast_station_month": q_forecast_station_month,
+    "dq_offending_values": q_dq_offending_values,
+    "published_latest": q_published_latest,
+    "published_after_failed_run": q_published_after_failed_run,
 }

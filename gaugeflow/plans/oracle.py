@@ -138,8 +138,8 @@ dq_summary AS (
 )
 """
 
-FORECAST = r""",
-pts AS (SELECT CAST(CAST(station_reference AS BIGINT) % 4 AS VARCHAR) AS reach, date_time_utc, value, reading_id
+_FORECAST = r""",
+pts AS (SELECT @GROUP@ AS reach, date_time_utc, value, reading_id
         FROM series WHERE value IS NOT NULL),
 anchor AS (
   SELECT reach, count(*) AS n_points, max(date_time_utc) AS last_at,
@@ -150,7 +150,7 @@ fit AS (
   SELECT p.reach, count(*) AS n_recent,
     regr_slope(p.value, (epoch_us(p.date_time_utc) - epoch_us(a.last_at)) / 1e6) AS slope
   FROM pts p JOIN anchor a ON p.reach = a.reach
-  WHERE p.date_time_utc >= a.last_at - INTERVAL 12 HOUR
+  WHERE p.date_time_utc >= a.last_at - INTERVAL @HOURS@ HOUR
   GROUP BY p.reach
 ),
 model AS (
@@ -168,35 +168,13 @@ fc AS (
 )
 """
 
-FORECAST_BY_STATION = r""",
-pts AS (SELECT station_reference AS reach, date_time_utc, value, reading_id
-        FROM series WHERE value IS NOT NULL),
-anchor AS (
-  SELECT reach, count(*) AS n_points, max(date_time_utc) AS last_at,
-    arg_max(value, (date_time_utc, reading_id)) AS last_value
-  FROM pts GROUP BY reach
-),
-fit AS (
-  SELECT p.reach, count(*) AS n_recent,
-    regr_slope(p.value, (epoch_us(p.date_time_utc) - epoch_us(a.last_at)) / 1e6) AS slope
-  FROM pts p JOIN anchor a ON p.reach = a.reach
-  WHERE p.date_time_utc >= a.last_at - INTERVAL 12 HOUR
-  GROUP BY p.reach
-),
-model AS (
-  SELECT a.*, coalesce(f.n_recent, 0) AS n_recent, f.slope,
-    a.n_points >= 4 AND coalesce(f.n_recent, 0) >= 4 AND f.slope IS NOT NULL AS eligible
-  FROM anchor a LEFT JOIN fit f ON a.reach = f.reach
-),
-fc AS (
-  SELECT reach, CAST(k AS INTEGER) AS k,
-    last_at + to_seconds(CAST(k * 900 AS BIGINT)) AS date_time_utc,
-    round(last_value + slope * (k * 900) * pow(0.97, k), 3) AS value,
-    'forecast' AS kind
-  FROM model, generate_series(1, 24) AS g(k)
-  WHERE eligible
-)
-"""
+
+def _forecast(group: str, hours: int = 12) -> str:
+    return _FORECAST.replace("@GROUP@", group).replace("@HOURS@", str(hours))
+
+
+FORECAST = _forecast("CAST(CAST(station_reference AS BIGINT) % 4 AS VARCHAR)")
+FORECAST_BY_STATION = _forecast("station_reference")
 
 _SQL: dict[str, str] = {}
 
@@ -482,6 +460,47 @@ _q(
        AND (date_time IS NULL OR CAST(date_time AS TIMESTAMP) > TIMESTAMP '2024-01-28 00:00:00')""",
 )
 
+STATIONS = _SQL["discover_stations"]
+_SQL["payload_files"] = STATIONS[: STATIONS.index("WHERE contains(s_name")]
+_q("dim_csv", "SELECT * FROM dim")
+_SQL["ingest_empty"] = """SELECT '2024-01-30T00:00:00Z' AS last_ingest_utc, '2024-01-28T00:00:00Z' AS since,
+       count_if(CAST(user_id AS VARCHAR) = 'no such station') AS rows_ingested, CAST(1 AS BIGINT) AS stations FROM events"""
+_SQL["lineage_records"] = _SQL["semi_bronze_in_gold"]
+_q(
+    "lineage_documents",
+    ", lf AS (" + LINEAGE_FLAT + """)
+     SELECT reading_id, station_reference, strftime(date_time_utc, '%Y-%m-%d %H:%M:%S') AS date_time_utc, copies,
+       strftime(first_ingested_at, '%Y-%m-%d %H:%M:%S') AS first_ingested_at,
+       strftime(last_ingested_at, '%Y-%m-%d %H:%M:%S') AS last_ingested_at,
+       silver_value, quality_flag, strftime(kept_ingested_at, '%Y-%m-%d %H:%M:%S') AS kept_ingested_at,
+       gold_value, unit_name
+     FROM lf""",
+)
+_SQL["trace_by_id"] = _SQL["trace_one"]
+_q(
+    "trace_records",
+    """, target AS (
+       SELECT reading_id FROM bronze WHERE reading_id IN (SELECT reading_id FROM series)
+       GROUP BY reading_id ORDER BY count(*) DESC, reading_id ASC LIMIT 1)
+     SELECT reading_id, TRY_CAST(value AS DOUBLE) AS value, CAST(_ingested_at AS TIMESTAMP) AS ingested_at,
+       _source_batch_id AS source_batch_id FROM bronze WHERE reading_id IN (SELECT reading_id FROM target)""",
+)
+_q(
+    "series_stored_order",
+    """SELECT reading_id, station_reference, date_time_utc,
+       row_number() OVER (ORDER BY station_reference, date_time_utc, reading_id) AS position FROM series""",
+)
+_q(
+    "forecast_station_month",
+    "SELECT reach AS station_reference, k, date_time_utc, value, kind FROM fc",
+    _forecast("station_reference", 720),
+)
+_SQL["dq_offending_values"] = _SQL["dq_results"].replace("'error' THEN 'flow'", "'error' THEN 'discharge'")
+#: Bronze in which a station has one measure, so every check passes.
+_MEASURE = "|| CASE WHEN user_id % 15 = 0 THEN '-' || strftime(ts, '%Y-%m-%d') ELSE '' END AS measure"
+_SQL["published_latest"] = _SQL["gold_station_latest"].replace(_MEASURE, "AS measure")
+_SQL["published_after_failed_run"] = _SQL["published_latest"]
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -162,8 +162,8 @@ def reading_payload_text(events: DataFrame) -> DataFrame:
     return staged.select(text.alias("json"))
 
 
-def station_payload_text(supplier: DataFrame) -> DataFrame:
-    """One JSON document per supplier row."""
+def station_payload_text(supplier: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON document per supplier row, beside the columns of ``keep``."""
     key = F.col("s_suppkey")
     scale_json = (
         F.when(key % SCALE_ABSENT_MOD == 0, F.lit(None).cast("string"))
@@ -189,8 +189,8 @@ def station_payload_text(supplier: DataFrame) -> DataFrame:
         F.col("scale_json").isNull(), F.col("item")
     ).otherwise(F.concat(F.expr("substring(item, 1, length(item) - 1)"), F.lit(',"stageScale":'), scale_raw, F.lit("}")))
     return (
-        supplier.select(item.alias("item"), scale_json.alias("scale_json"))
-        .select(F.concat(F.lit('{"items":['), body, F.lit("]}")).alias("json"))
+        supplier.select(*keep, item.alias("item"), scale_json.alias("scale_json"))
+        .select(*keep, F.concat(F.lit('{"items":['), body, F.lit("]}")).alias("json"))
     )
 
 
