@@ -39,7 +39,7 @@ class Check:
         return f"test.{self.kind}_{self.model}_{self.column}"
 
 
-# The eleven checks of the pipeline, in declaration order.
+# FIXED VALUES: the eleven checks of the pipeline, in declaration order.
 DEFAULT_CHECKS = (
     Check("silver", "reading_id", "not_null"),
     Check("silver", "reading_id", "unique"),

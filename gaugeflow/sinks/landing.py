@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from gaugeflow.config import ATTRIBUTION
 from gaugeflow.operators.ingest import stamp_batch, with_partition_columns
 from gaugeflow.plans.publish import write_text
+from gaugeflow.sources.payloads import read_documents
 from gaugeflow.streaming.bronze_stream import write_bronze_batch
 
 
@@ -49,10 +50,14 @@ def write_ingest_meta(spark: SparkSession, path: str, run_ts_text: str, since: s
     write_text(spark, path, json.dumps(doc))
 
 
-def copy_raw_feed(spark: SparkSession, src: str, dest: str) -> None:
-    """Copy a raw JSON feed to Parquet as evidence; no key is minted and the
-    destination must lie outside the bronze root."""
-    spark.read.json(src).write.mode("append").parquet(dest)
+def copy_raw_feed(spark: SparkSession, src: str, dest: str, bronze_root: str | None = None) -> None:
+    """Copy a raw JSON feed to Parquet as evidence: one row per document, its
+    text untouched, no key minted. ``dest`` belongs to one copy and is replaced by
+    a retry; a place inside bronze is refused (nothing minted lies there)."""
+    inside = bronze_root and f"{dest.rstrip('/')}/".startswith(f"{bronze_root.rstrip('/')}/")
+    if inside:
+        raise ValueError(f"{dest} lies inside bronze")
+    read_documents(spark, src).write.mode("overwrite").parquet(dest)
 
 
 def compact_bronze(spark: SparkSession, root: str, out: str, dt_from: str | None = None, dt_to: str | None = None,

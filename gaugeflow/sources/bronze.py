@@ -4,13 +4,16 @@
 even when files disagree on the type of ``value`` (double, text, all-null
 or missing) — a case where ``mergeSchema`` and an explicit schema both fail.
 Files are listed with the ``binaryFile`` source without reading their
-content, each task reads only the footers of its files, files are grouped by
-footer schema, and each group is read once with ``value`` cast to text;
-the groups are combined with ``unionByName(allowMissingColumns=True)``.
+content and each task reads only the footers of its files. Where all footers
+agree the root is read as it is. Otherwise the folders are told apart by
+schema (a folder whose files disagree file by file), each schema is read once
+with ``value`` cast to text, and the parts are combined with
+``unionByName(allowMissingColumns=True)``.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
 
 import pandas as pd
@@ -18,8 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.schemas import BRONZE
+from gaugeflow.session import materialize
 
 _FOOTER_SCHEMA = "path string, signature string"
+#: Hadoop's names of schemes that the footer reader knows under another one.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def _footer_signatures(batches):
@@ -35,7 +41,8 @@ def _footer_signatures(batches):
             if p.startswith("file:"):
                 fs, path = pafs.LocalFileSystem(), urlparse(p).path
             else:
-                fs, path = pafs.FileSystem.from_uri(p)
+                scheme, rest = p.split(":", 1)
+                fs, path = pafs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
             schema = pq.read_schema(path, filesystem=fs)
             sigs.append(",".join(f"{f.name}:{f.type}" for f in schema))
         yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
@@ -78,13 +85,31 @@ def _as_bronze_text(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+def _paths_by_schema(files: DataFrame, root: str) -> list[list[str]]:
+    """Paths to read together, one list per footer schema. A single schema needs
+    only the root. Otherwise folders stream back to the driver one by one (as
+    many as the layout has partitions), and the files of those folders alone
+    whose schemas differ; no task gathers them."""
+    files = materialize(files.withColumn("folder", F.regexp_replace("path", "/[^/]*$", "")), "footers")
+    schemas = files.select("signature").distinct().limit(2).count()
+    if schemas < 2:
+        return [[root]] * schemas
+    kinds = files.groupBy("folder").agg(F.min("signature").alias("signature"), F.max("signature").alias("last"))
+    kinds = materialize(kinds, "footer-folders")
+    uniform = kinds.where("signature = last").select("signature", F.col("folder").alias("path"))
+    mixed = files.join(kinds.where("signature <> last").select("folder"), "folder", "left_semi").select("signature", "path")
+    paths = defaultdict(list)
+    for row in uniform.union(mixed).toLocalIterator():
+        paths[row["signature"]].append(row["path"])
+    return [sorted(p) for _, p in sorted(paths.items())]
+
+
 def read_bronze(spark: SparkSession, root: str, with_file: bool = False) -> DataFrame:
     """All bronze files below ``root`` as text columns of the bronze schema
     (plus partition columns such as ``dt`` / ``batch`` when the layout has them)."""
-    groups = file_signatures(spark, root).groupBy("signature").agg(F.collect_list("path").alias("paths"))
     parts = []
-    for row in groups.toLocalIterator():
-        df = spark.read.option("basePath", root).parquet(*row["paths"])
+    for paths in _paths_by_schema(file_signatures(spark, root), root):
+        df = spark.read.option("basePath", root).parquet(*paths)
         if with_file:
             df = df.withColumn("_file", F.col("_metadata.file_path"))
         parts.append(_as_bronze_text(df))

@@ -4,7 +4,8 @@
 bronze partitioned by ``(dt, batch)`` with dynamic partition overwrite.
 
 * ``_ingested_at`` / ``_source_batch_id`` come from the input file's
-  modification time and ``batch`` from that stamp plus a digest of the file
+  modification time (to the microsecond, so deliveries of one second keep
+  their order) and ``batch`` from that stamp plus a digest of the file
   path, so a replayed micro-batch writes exactly the same partitions and
   leaves every other batch alone: a replay is a no-op, never a duplicate.
 * A streaming *file sink* is not used: its ``_spark_metadata`` log would hide
@@ -24,13 +25,14 @@ from gaugeflow.sources.payloads import flatten_readings
 
 def stamp_from_file(df: DataFrame) -> DataFrame:
     """Run stamp and partition columns derived from the input file."""
-    stamp = iso_z(F.col("_file_mtime"))
+    stamp = F.date_format("_file_mtime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    second = iso_z(F.col("_file_mtime"))
     return (
         df.withColumn("value", F.col("value").cast("string"))  # one bronze schema for every writer
         .withColumn("_ingested_at", stamp)
         .withColumn("_source_batch_id", stamp)
         .withColumn("dt", reading_date())
-        .withColumn("batch", F.concat(batch_name(stamp), F.lit("_"), F.substring(F.md5(F.col("_file")), 1, 10)))
+        .withColumn("batch", F.concat(batch_name(second), F.lit("_"), F.substring(F.md5(F.col("_file")), 1, 10)))
         .drop("_file", "_file_mtime")
     )
 

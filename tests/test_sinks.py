@@ -3,6 +3,7 @@
 import tempfile
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.metrics import heartbeat_health
@@ -58,7 +59,11 @@ def test_copy_raw_feed_views_and_ordered_series(spark):
     with open(f"{base}/feed/latest.json", "w") as f:
         f.write(json.dumps({"items": [{"measure": "m1", "value": 1.5}]}) + "\n")
     landing.copy_raw_feed(spark, f"{base}/feed", f"{base}/evidence")
-    assert spark.read.parquet(f"{base}/evidence").count() == 1
+    landing.copy_raw_feed(spark, f"{base}/feed", f"{base}/evidence")  # a retry replaces the copy
+    copied = spark.read.parquet(f"{base}/evidence").collect()
+    assert [json.loads(r.json) for r in copied] == [{"items": [{"measure": "m1", "value": 1.5}]}]
+    with pytest.raises(ValueError):
+        landing.copy_raw_feed(spark, f"{base}/feed", f"{base}/bronze/raw", bronze_root=f"{base}/bronze")
 
     rows = [reading("4009", NOW - k * timedelta(hours=1), float(k)) for k in (3, 1, 2)]
     from gaugeflow.operators import gold, silver

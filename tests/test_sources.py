@@ -70,6 +70,18 @@ def test_drifted_bronze_scan_unions_all_files(spark):
     df = bronze_src.read_bronze(spark, root)
     got = {r.reading_id: r.value for r in df.collect()}
     assert got == {"a": "1.5", "b": "n/a", "c": None, "d": None}
+    # folders of one schema each are read as folders, a single schema as its root
+    even = tempfile.mkdtemp(prefix="gf-bronze-")
+    for day, value in (("14", pa.array([1.5], pa.float64())), ("15", pa.array(["n/a"]))):
+        os.makedirs(f"{even}/dt=2026-06-{day}")
+        pq.write_table(pa.table({**base, "value": value}), f"{even}/dt=2026-06-{day}/f.parquet")
+    paths = bronze_src._paths_by_schema(bronze_src.file_signatures(spark, even), even)
+    assert sorted(p[0].rsplit("/", 1)[1] for p in paths) == ["dt=2026-06-14", "dt=2026-06-15"]
+    assert {r.value for r in bronze_src.read_bronze(spark, even).collect()} == {"1.5", "n/a"}
+    one = f"{even}/dt=2026-06-15"
+    assert bronze_src._paths_by_schema(bronze_src.file_signatures(spark, one), one) == [[one]]
+    os.makedirs(f"{root}/empty")
+    assert bronze_src.read_bronze(spark, f"{root}/empty").count() == 0
     assert "dt" in df.columns
 
 
