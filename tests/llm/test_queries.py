@@ -89,3 +89,19 @@ def test_stages_on_odd_rows(spark):
     for stage in (s for _, s in corpus_pipeline.STAGES):
         assert stage(spark, docs.limit(0), SF).count() == 0
         stage(spark, docs, SF).collect()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    names = ("body score spans lang_pred key bucket hash size start epochs target turn weight copies taken copy position source_size "
+             "id n fp cells cluster root tasks rep held_out _key _text _m ids round_trip n_tokens").split()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    wide = docs.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        plain, own = stage(spark, docs, SF), stage(spark, wide, SF)
+        assert own.columns == wide.columns
+        rows = own.collect()
+        assert all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names)
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in plain.collect())
+    corpus_pipeline.STAGES[3][1](spark, wide, SF).collect()
