@@ -49,8 +49,8 @@ class Settings:
     smoothing: float = 0.5
     switch_penalty: float = 12.0
     script_share: float = 0.01  # least share of a language's letters for a script to be its own
-    part_chars: int = 1 << 19  # characters scored at once
-    batch_chars: int = 1 << 23  # characters whose words advance together
+    part_chars: int = 1 << 18  # characters scored at once
+    batch_chars: int = 1 << 22  # characters whose words advance together
 
 
 @dataclass(frozen=True)
@@ -250,12 +250,12 @@ def label_words(texts: list, model: Model, settings: Settings) -> Iterator[tuple
         yield at, of_text, np.concatenate(size), labels
 
 
-def identify(docs: DataFrame, model: Model, settings: Settings = Settings(), text: str = "text") -> DataFrame:
-    """All columns of ``docs`` but ``text`` plus ``lang_pred``, ``score`` (share
+def identify(docs: DataFrame, model: Model, settings: Settings = Settings(), text: str = "text", keep_text: bool = False) -> DataFrame:
+    """All columns of ``docs`` (``text`` only with ``keep_text``) plus ``lang_pred``, ``score`` (share
     of the letters in that language) and ``spans``: (language, first word, words).
 
     ``lang_pred`` has the most letters over all spans."""
-    kept = [f for f in docs.schema.fields if f.name != text]
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text]
     clash = {"lang_pred", "score", "spans"} & {f.name for f in kept}
     if clash:
         docs, kept = docs.drop(*clash), [f for f in kept if f.name not in clash]
