@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gaugeflow.llm import binpack, curriculum, hilbert, language, maxscore, ngram_join, pieces, toolcalls, url_reputation, warc_store
@@ -222,6 +223,30 @@ def test_ngram_large_groups_and_blocks(spark, monkeypatch):
     assert got == plain_components(rows)
 
 
+def test_ngram_thinned_sets_keep_their_links(spark, monkeypatch):
+    """Unlike sets of one size share all their prefix codes; one entry stands for
+    them all, and the near copy of a hidden one is in another slab."""
+    for name, value in (("PAIRED", 4), ("HOT_LOCAL", 1 << 30), ("ORDERED_CODES", 30 * 200), ("BUCKET_ENTRIES", 1)):
+        monkeypatch.setattr(ngram_join, name, value)  # without a frequency table, codes order the sets
+    words = [f"v{i}" for i in range(31 * 189 + 11)]
+    words.sort(key=dict(zip(words, shingle_sets(words, 1))).get)
+    first, rest = words[:11], words[11:]
+    texts = [" ".join(first + rest[i * 189 : (i + 1) * 189]) for i in range(30)]
+    hidden = texts[17].split()
+    rows = [*enumerate(texts), (30, " ".join(hidden[:-2] + rest[-2:]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(frame, width=1, percent=95).collect()}
+    assert got == {**{i: i for i in range(30)}, 30: 17}
+
+
+def test_ngram_pairs_are_sure_by_any_shared_code():
+    """A thinned entry counts beside a plain one of the same two sets, and beside its own repeat."""
+    alone = [(10 + k, 100 + k % 2, 50, 0) for k in range(12)]
+    entries = [(1, 100, 50, 0), (1, 101, 50, 0), (2, 100, 50, 3), (2, 100, 50, -1), (2, 101, 50, 3), *alone]
+    packed = pa.table({"entries": pa.array([np.array(entries, np.int64).tobytes()], pa.binary()), "edges": pa.array([b""], pa.binary())})
+    assert ngram_join._bucket_edges(packed, 80).to_pylist() == [{"a": 101, "b": 100, "sure": True}]
+
+
 def test_histogram_bound_never_excludes_a_link():
     rng = np.random.default_rng(8)
     for _ in range(300):
