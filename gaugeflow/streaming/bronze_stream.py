@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.timefns import batch_name, iso_z
 from gaugeflow.operators.ingest import reading_date
 from gaugeflow.schemas import READING_PAYLOAD
-from gaugeflow.sources.payloads import flatten_readings
+from gaugeflow.sources.payloads import flatten_readings, is_document
 
 
 def stamp_from_file(df: DataFrame) -> DataFrame:
@@ -61,13 +61,12 @@ def landed_stream(spark: SparkSession, payload_dir: str, max_files: int | None =
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_file_mtime"),
     )
-    # JSON parsers stop behind the first document, so lines are tried first.
-    parts = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
-    per_line = F.forall(parts, lambda x: F.try_parse_json(x).isNotNull() & F.ltrim(x).rlike(r"^[{\[]"))
+    parts = F.filter(F.split("value", "\r\n|\r|\n"), lambda x: x.rlike(r"\S"))
+    per_line = F.forall(parts, is_document)
     documents = F.explode(F.when(per_line, parts).otherwise(F.array("value")))
     lines = files.select(documents.alias("json"), "_file", "_file_mtime")
-    message = F.concat(F.lit("not a JSON document: "), F.col("_file"))
-    sound = F.when(F.try_parse_json("json").isNotNull(), F.col("json")).otherwise(F.raise_error(message))
+    message = F.concat(F.lit("not a JSON document, nor one a line: "), F.col("_file"))
+    sound = F.when(is_document(F.col("json")), F.col("json")).otherwise(F.raise_error(message))
     raw = lines.select(F.from_json(sound, READING_PAYLOAD).alias("p"), "_file", "_file_mtime").select("p.*", "_file", "_file_mtime")
     return stamp_from_file(flatten_readings(raw, keep=("_file", "_file_mtime")))
 

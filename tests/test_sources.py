@@ -6,6 +6,7 @@ import tempfile
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from gaugeflow.sources import bronze as bronze_src
 from gaugeflow.sources import dims, meta, payloads
@@ -43,6 +44,35 @@ def test_flatten_object_and_bare_measure(spark):
     assert rows["m1"].reading_id == hashlib.md5(b"m1|2026-06-14T16:15:00Z").hexdigest()
 
 
+def test_only_whole_payload_files_are_read(spark):
+    """Documents behind a file's first are read or raise an error, in batch and stream."""
+    from gaugeflow.streaming.bronze_stream import start_ingest
+
+    doc = lambda k: {"requested_station": k, "items": [{"measure": f"m{k}", "dateTime": "2026-06-14T16:15:00Z", "value": 1}]}
+    a, b = json.dumps(doc("1")), json.dumps(doc("2"))
+    indented = json.dumps(doc("1"), indent=1)
+    sound = {"lines": (f"{a}\n{b}\n", 2), "crlf": (f"{a}\r\n\r\n \t\r\n{b}", 2), "whole": (f"{indented}\n\n", 1)}
+    broken = {"cut": f"{a}\n{b}\n{a[:40]}", "several": f"{indented}\n{json.dumps(doc('2'), indent=1)}\n", "one line": f"{a}{b}\n",
+              "bracket": f"{a}]\n", "rest": f'{a},"x":{b}\n', "brace": f"{a}}}\n"}
+    for name, text in [*((k, v[0]) for k, v in sound.items()), *broken.items()]:
+        base = tempfile.mkdtemp(prefix="gf-payload-")
+        os.makedirs(f"{base}/in")
+        with open(f"{base}/in/p.json", "w", newline="") as f:
+            f.write(text)
+        read = lambda: payloads.flatten_readings(payloads.read_reading_payloads(spark, f"{base}/in")).collect()  # noqa: B023, E731
+
+        def stream():
+            start_ingest(spark, f"{base}/in", f"{base}/bronze", f"{base}/cp").awaitTermination()  # noqa: B023
+            return spark.read.parquet(f"{base}/bronze").collect()  # noqa: B023
+
+        for run in (read, stream):
+            if name in sound:
+                assert len(run()) == sound[name][1], name
+            else:
+                with pytest.raises(Exception, match="not a JSON document"):
+                    run()
+
+
 def test_discover_stations_scale_shapes(spark):
     docs = [{"items": [
         {"stationReference": "1", "label": "Trent at A", "town": "Nottingham", "stageScale": {"typicalRangeHigh": 3.6}},
