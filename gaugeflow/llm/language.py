@@ -7,9 +7,9 @@ with word edges), and a Viterbi pass with a penalty for each change of
 language labels the words. Runs of equal labels are the spans.
 
 Learning counts hashed n-grams over all training rows in Spark: each batch adds
-into fixed-size tables, the tables are summed by cell, and the model
-(``cells`` x languages) is collected. Its size is bounded by ``cells`` times
-``max_languages`` (the most frequent labels); so is the broadcast.
+into tables (sparse ones for many languages), the tables are summed by cell, and
+the model (``cells`` x languages) is collected. Every label that occurs is
+learnt; a model over ``model_bytes`` raises an error, so the broadcast is bounded.
 
 Defined cases: null text, empty text and text without letters are ``und`` with
 score 0 and no spans; letters of a script in no training text keep all
@@ -45,12 +45,16 @@ SCRIPTS = (
 @dataclass(frozen=True)
 class Settings:
     cells: int = 1 << 16
-    max_languages: int = 200
+    model_bytes: int = 1 << 30
     smoothing: float = 0.5
     switch_penalty: float = 12.0
     script_share: float = 0.01  # least share of a language's letters for a script to be its own
     part_chars: int = 1 << 18  # characters scored at once
     batch_chars: int = 1 << 22  # characters whose words advance together
+    full_batch: int = 200  # languages from which on parts and batches shrink, so that memory stays
+
+    def shrunk(self, chars: int, languages: int) -> int:
+        return max(1, chars * self.full_batch // max(languages, self.full_batch))
 
 
 @dataclass(frozen=True)
@@ -60,6 +64,9 @@ class Model:
     scripts: np.ndarray  # scripts x languages, candidate or not
 
 
+DENSE_KEYS = 1 << 24  # (language, cell) keys that a task counts in a full table
+SPARSE_KEYS = 1 << 21  # counted keys that a task holds before it hands them on
+HANDED = 1 << 20  # rows of a batch of counts
 _tables: dict = {}
 
 
@@ -143,52 +150,86 @@ def _batched(texts: list, limit: int) -> Iterator[tuple[int, list]]:
         yield at, own
 
 
+class _Sums:
+    """Sums by key of ``size`` keys: dense while that is small, else sorted keys."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.keys, self.sums = size, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.dense = np.zeros(size, np.int64) if size <= DENSE_KEYS else None
+
+    def add(self, keys: np.ndarray, weights: np.ndarray | None = None) -> None:
+        if self.dense is not None:
+            self.dense += np.bincount(keys, weights, self.size).astype(np.int64)
+            return
+        new, at = np.unique(keys, return_inverse=True)
+        sums = np.bincount(at, weights, len(new)).astype(np.int64)
+        self.keys, at = np.unique(np.concatenate((self.keys, new)), return_inverse=True)
+        self.sums = np.bincount(at, np.concatenate((self.sums, sums)), len(self.keys)).astype(np.int64)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.dense is not None:
+            self.keys = np.flatnonzero(self.dense)
+            self.sums = self.dense[self.keys]
+        out = self.keys, self.sums
+        self.__init__(self.size)
+        return out
+
+
 def learn(rows: DataFrame, settings: Settings = Settings()) -> Model:
     """``rows``: ``text``, ``lang``; rows with a null in either teach nothing."""
     rows = rows.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.max_languages).collect()
-    languages = sorted(r["lang"] for r in top)
+    most = min(settings.model_bytes // (4 * settings.cells), np.iinfo(np.int16).max)
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().limit(most + 1).collect())
+    if len(languages) > most:
+        raise ValueError(f"more than {most} languages: the model would pass model_bytes = {settings.model_bytes}")
     if not languages:
         return Model([], np.zeros((settings.cells, 0), np.float32), np.zeros((0, 0), bool))
     index = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = _unicode()["names"]
-        grams = np.zeros((len(languages), settings.cells), np.int64)
-        scripts = np.zeros((len(languages), len(names)), np.int64)
+        grams, scripts = _Sums(len(languages) * settings.cells), _Sums(len(languages) * len(names))
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            for kind, width, (keys, sums) in ((0, settings.cells, grams.take()), (1, len(names), scripts.take())):
+                for k in range(0, len(keys), HANDED):
+                    lang, cell = np.divmod(keys[k : k + HANDED], width)
+                    yield pa.RecordBatch.from_pydict({
+                        "kind": pa.array(np.full(len(lang), kind, np.int32)), "lang": pa.array(lang.astype(np.int32)),
+                        "cell": pa.array(cell.astype(np.int32)), "n": pa.array(sums[k : k + HANDED]),
+                    })
+
         for b in batches:
             langs, texts = b.column("lang").to_pylist(), b.column("text").to_pylist()
             for at, part in _batched(texts, settings.part_chars):
                 w = _words(part)
                 if not len(w["at"]):
                     continue
-                own = np.array([index.get(x, -1) for x in langs[at : at + len(part)]])
+                own = np.array([index[x] for x in langs[at : at + len(part)]])
                 of_word = own[w["text"]]
                 of_letter = np.repeat(of_word, w["size"])
                 for c in _cells(w, settings.cells):
-                    ok = (c >= 0) & (of_letter >= 0)
-                    grams += np.bincount(of_letter[ok] * settings.cells + c[ok], minlength=grams.size).reshape(grams.shape)
-                ok = of_word >= 0
-                scripts += np.bincount(
-                    of_word[ok] * len(names) + w["script"][ok], weights=w["size"][ok], minlength=scripts.size
-                ).reshape(scripts.shape).astype(np.int64)
-        for kind, counts in ((0, grams), (1, scripts)):
-            lang, cell = np.nonzero(counts)
-            yield pa.RecordBatch.from_pydict({
-                "kind": pa.array(np.full(len(lang), kind, np.int32)), "lang": pa.array(lang.astype(np.int32)),
-                "cell": pa.array(cell.astype(np.int32)), "n": pa.array(counts[lang, cell]),
-            })
+                    ok = c >= 0
+                    grams.add(of_letter[ok] * settings.cells + c[ok])
+                scripts.add(of_word * len(names) + w["script"], w["size"])
+                if len(grams.keys) > SPARSE_KEYS:
+                    yield from handed()
+        yield from handed()
 
     sums = rows.mapInArrow(count, "kind int, lang int, cell int, n long").groupBy("kind", "lang", "cell").agg(F.sum("n").alias("n"))
     # Bounded: cells x languages rows, whatever the corpus.
-    got = sums.toPandas()
-    grams = np.zeros((settings.cells, len(languages)))
+    got = sums.toPandas().sort_values("lang", kind="stable")
     scripts = np.zeros((len(_unicode()["names"]), len(languages)))
-    for kind, out in ((0, grams), (1, scripts)):
-        own = got[got["kind"] == kind]
-        out[own["cell"].to_numpy(), own["lang"].to_numpy()] = own["n"].to_numpy()
-    grams += settings.smoothing
-    scores = np.log(grams / grams.sum(0, keepdims=True)).astype(np.float32)
+    own = got[got["kind"] == 1]
+    scripts[own["cell"].to_numpy(), own["lang"].to_numpy()] = own["n"].to_numpy()
+    own = got[got["kind"] == 0]
+    cell, n = own["cell"].to_numpy(), own["n"].to_numpy()
+    stops = np.searchsorted(own["lang"].to_numpy(), np.arange(len(languages) + 1))
+    scores = np.zeros((settings.cells, len(languages)), np.float32)
+    for k in range(len(languages)):  # one language at a time in doubles
+        grams = np.full(settings.cells, settings.smoothing)
+        grams[cell[stops[k] : stops[k + 1]]] += n[stops[k] : stops[k + 1]]
+        scores[:, k] = np.log(grams / grams.sum())
     share = scripts / np.maximum(scripts.sum(0, keepdims=True), 1)
     return Model(languages, scores, share >= settings.script_share)
 
@@ -236,9 +277,9 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
 def label_words(texts: list, model: Model, settings: Settings) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Per batch of whole texts: (first text, and of each word its text within
     the batch, its letters and its label)."""
-    for at, batch in _batched(texts, settings.batch_chars):
+    for at, batch in _batched(texts, settings.shrunk(settings.batch_chars, len(model.languages))):
         text, size, scores = [], [], []
-        for begin, part in _batched(batch, settings.part_chars):
+        for begin, part in _batched(batch, settings.shrunk(settings.part_chars, len(model.languages))):
             w = _words(part)
             allowed = model.scripts[w["script"]]
             allowed = allowed | ~allowed.any(1, keepdims=True)

@@ -281,6 +281,27 @@ def test_language_spans(spark):
     assert language.identify(frame.limit(0), model).count() == 0
 
 
+def test_every_label_is_learnt(spark, monkeypatch):
+    """More labels than full tables hold, the rare ones included; too large a model raises an error."""
+    own = {f"l{i:03}": chr(0x4E00 + 3 * i) * 3 for i in range(260)}
+    train = [(i, " ".join([w] * (60 if k < "l250" else 40)), k, "s") for i, (k, w) in enumerate(sorted(own.items()) * 2)]
+    train = train[: 260 + 250]  # the last ten labels occur once
+    frame = docs_frame(spark, train)
+    small = language.Settings(cells=1 << 14)
+    full = language.learn(frame, small)
+    assert full.languages == sorted(own)
+    rows = [(i, " ".join([w] * 20), None, "s") for i, w in enumerate(own.values())]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs_frame(spark, rows), full, small).collect()}
+    assert got == dict(enumerate(own))
+    monkeypatch.setattr(language, "DENSE_KEYS", 0)
+    monkeypatch.setattr(language, "SPARSE_KEYS", 16)
+    sparse = language.learn(frame, small)
+    assert sparse.languages == full.languages
+    assert (sparse.scores == full.scores).all() and (sparse.scripts == full.scripts).all()
+    with pytest.raises(ValueError, match="more than 259 languages"):
+        language.learn(frame, language.Settings(cells=1 << 14, model_bytes=259 << 16))
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(10)
     counts = np.array([0, 1, 7, 3, 0, 6])
