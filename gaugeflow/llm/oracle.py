@@ -130,4 +130,31 @@ SELECT conv_id, call_id, turn, level::INTEGER AS level, status,
 FROM j
 """
 
-ORACLE_SQL = {"op2_maxscore": OP2, "op3_ngram_jaccard": OP3, "op10_tool_calls": OP10, "op1_url_reputation": OP1, "op7_warc_archive": OP7, "op8_curriculum_mix": OP8}
+#: One round: the nearest entry of every part (squares of whole numbers, exact in doubles), then new entries.
+OP13_ASSIGN = """
+a{r} AS MATERIALIZED (SELECT rn, p, any_value(x) AS x, min({{'d': list_inner_product(x, x) - 2 * list_inner_product(x, e) + list_inner_product(e, e), 'k': b{r}.k}}) AS best
+  FROM cuts JOIN b{r} USING (p) GROUP BY rn, p)"""
+OP13_UPDATE = """,
+u{r} AS (SELECT p, best.k AS k, list(floor(s / n) ORDER BY i) AS e FROM (
+    SELECT p, best, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT p, {{'k': best.k}} AS best, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY p, best, i) GROUP BY p, best.k),
+b{t} AS MATERIALIZED (SELECT p, k, coalesce(u{r}.e, b{r}.e) AS e FROM b{r} LEFT JOIN u{r} USING (p, k)),"""
+OP13 = (
+    """
+WITH kept AS (SELECT row_number() OVER () AS rn, row_number() OVER (ORDER BY vec_id) - 1 AS k, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cuts AS MATERIALIZED (SELECT rn, k, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM kept, range(4) t(p)),
+b0 AS MATERIALIZED (SELECT p, k, x AS e FROM cuts WHERE k < 256),"""
+    + "".join(OP13_ASSIGN.format(r=r) + OP13_UPDATE.format(r=r, t=r + 1) for r in range(4))
+    + OP13_ASSIGN.format(r=4)
+    + """,
+coded AS (SELECT rn, string_agg(printf('%02x', best.k::INTEGER), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM a4 GROUP BY rn),
+rows AS (SELECT vec_id, label, code, error FROM coded JOIN kept USING (rn)),
+sums AS (SELECT label, sum(error)::BIGINT AS label_error FROM rows GROUP BY label),
+books AS (SELECT sha256(string_agg(c, ',' ORDER BY p, k)) AS codebooks_sha256
+  FROM (SELECT p, k, array_to_string(list_transform(e, lambda c: c::BIGINT), ',') AS c FROM b4))
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM rows JOIN sums ON rows.label IS NOT DISTINCT FROM sums.label, books
+"""
+)
+
+ORACLE_SQL = {"op13_orchard_codes": OP13, "op2_maxscore": OP2, "op3_ngram_jaccard": OP3, "op10_tool_calls": OP10, "op1_url_reputation": OP1, "op7_warc_archive": OP7, "op8_curriculum_mix": OP8}

@@ -8,7 +8,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import binpack, curriculum, hilbert, language, maxscore, ngram_join, pieces, toolcalls, url_reputation, warc_store
+from gaugeflow.llm import (
+    binpack,
+    codebooks,
+    curriculum,
+    hilbert,
+    language,
+    maxscore,
+    ngram_join,
+    pieces,
+    subwords,
+    toolcalls,
+    url_reputation,
+    warc_store,
+    whitening,
+)
 from gaugeflow.llm.base import table
 
 # FIXED VALUES of the url query.
@@ -126,6 +140,26 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toolcalls.link(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32).withColumnRenamed("id", "vec_id")
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+def op12_quality_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from a bounded sample of the labels that are not held out, scores every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", subwords.is_held_out(F.col("doc_id")))
+    labels = table(spark, sf_dir, "labels").filter(~subwords.is_held_out(F.col("doc_id")))
+    scored = subwords.classify(docs, subwords.learn(docs, labels), keep=["held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int"))
+
+
+def op13_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codebooks.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_maxscore": op2_maxscore,
@@ -137,4 +171,7 @@ QUERIES = {
     "op8_curriculum_mix": op8_curriculum_mix,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_tool_calls": op10_tool_calls,
+    "op11_whitening": op11_whitening,
+    "op12_quality_subwords": op12_quality_subwords,
+    "op13_orchard_codes": op13_orchard_codes,
 }

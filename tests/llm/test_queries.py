@@ -36,7 +36,7 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
