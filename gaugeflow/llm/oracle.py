@@ -62,14 +62,18 @@ FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN r ON d.doc_id = r.
 """
 
 OP7 = r"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS x FROM pages),
-b AS (SELECT page_id, strlen(body) AS n, min(page_id) OVER (PARTITION BY body) AS first_page,
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS x FROM pages),
+b AS (SELECT page_id, url, strlen(body) AS n, min(page_id) OVER (PARTITION BY body) AS first_page,
   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     (((('0x' || substr(x, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS digest FROM p)
-SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
-  CASE WHEN n >= 0 AND page_id IS DISTINCT FROM first_page THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 0 AND page_id IS DISTINCT FROM first_page THEN first_page END AS refers_to
-FROM b
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, kind AS record_type,
+  CASE WHEN kind = 'revisit' THEN first_page END AS refers_to,
+  (strlen(E'WARC/1.1\r\nWARC-Type: \r\nWARC-Record-ID: \r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Payload-Digest: sha1:\r\n') + strlen(kind) + 47 + 32
+    + coalesce(strlen(E'WARC-Target-URI: \r\n' || replace(replace(url, E'\r', '%0D'), E'\n', '%0A')), 0)
+    + CASE WHEN kind = 'revisit' THEN strlen(E'WARC-Refers-To: \r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n') + 47 ELSE n END
+    + strlen(E'Content-Type: application/http; msgtype=response\r\nContent-Length: \r\n\r\n') + http + strlen((CASE WHEN kind = 'revisit' THEN http ELSE http + n END)::VARCHAR) + 4)::BIGINT AS record_bytes
+FROM (SELECT *, CASE WHEN page_id IS DISTINCT FROM first_page THEN 'revisit' ELSE 'response' END AS kind,
+  strlen(E'HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: \r\n\r\n') + strlen(n::VARCHAR) AS http FROM b)
 """
 
 OP8 = r"""

@@ -93,8 +93,8 @@ def op6_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers, payloads = warc_store.write_archive(table(spark, sf_dir, "pages"))
-    records = warc_store.parsed(warc_store.read_records(headers, payloads))
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records = warc_store.parsed(warc_store.read_records(headers, payloads), headers)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_bytes")
 
 
 def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,15 +10,19 @@ Of records with equal payloads of at least ``min_bytes`` bytes the one with
 the smallest page_id is a ``response`` and the others are ``revisit`` records
 that refer to it; smaller payloads are all ``response`` records.
 
-Scale: grouping works on digests (narrow rows); html crosses the network once
-to be written (keyed by page_id, even) and once to be read (keyed by digest,
-each digest once). A payload that a third of the pages share is one row of
-the payload table; its many headers are narrow and their join is split by AQE.
+Scale: html crosses the network once to be written and once to be read, both
+times by digest. Copies are combined in each input split before they are
+written, so a payload that a third of the pages share arrives once per split;
+it is one row of the payload table, its many headers are narrow and their join
+is split by AQE. What a revisit refers to is read back from its
+``WARC-Refers-To`` header, joined with the record ids on narrow rows.
 
 Defined cases: null html is an empty payload; null url gives a record without
 target; line breaks in a url are percent-encoded in the header; rows that
 repeat both page_id and payload of a response are responses themselves; null
-page_ids come after all others. Extra columns are not read.
+page_ids come after all others; a page_id that repeats with other payloads has one record id.
+Payloads may be as long as a row; an empty table gives no records. Only
+page_id, url and html are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -80,7 +84,7 @@ def header_bytes(revisit: Column) -> Column:
 def write_archive(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
     """Writes ``(headers, payloads)``, both as tables in the shared folder.
 
-    headers: ``page_id, digest, refers_page, header``; payloads: ``digest, payload``."""
+    headers: ``page_id, digest, revisit, header``; payloads: ``digest, payload``."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     records = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.unhex(F.sha2("payload", 256)))
     narrow = materialize(
@@ -90,40 +94,50 @@ def write_archive(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, Data
     owners = materialize(narrow.groupBy("digest").agg(F.min("page_id").alias("owner")), "warc-owners")
     revisit = (F.col("bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("owner"))
     headers = narrow.join(owners, "digest").select(
-        "page_id", "digest", F.when(revisit, F.col("owner")).alias("refers_page"), header_bytes(revisit).alias("header")
+        "page_id", "digest", F.coalesce(revisit, F.lit(False)).alias("revisit"), header_bytes(revisit).alias("header")
     )
-    kept = owners.select(F.col("owner").alias("page_id"), F.col("digest").alias("kept"))
-    same = records["page_id"].eqNullSafe(kept["page_id"]) & (records["digest"] == kept["kept"])
-    # Joined by page_id, so dropping repeated rows needs no further exchange.
-    payloads = records.join(kept, same, "left_semi").dropDuplicates(["page_id", "digest"]).select("digest", "payload")
+    # One aggregate by digest: copies meet in their split first, the rest in one exchange.
+    payloads = records.groupBy("digest").agg(F.any_value("payload").alias("payload"))
     return materialize(headers, "warc-headers"), materialize(payloads, "warc-payloads")
 
 
 def read_records(headers: DataFrame, payloads: DataFrame) -> DataFrame:
-    """``page_id, refers_page, header, payload, record``: the exact record, its
+    """``page_id, revisit, header, payload, record``: the exact record, its
     payload verified against the key and the header's digest. ``record`` of a
     revisit has no payload, as written; ``payload`` is always the full one."""
     checked = payloads.withColumn(
         "payload", F.when(F.unhex(F.sha2("payload", 256)) == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest")).cast("binary"))
     )
     joined = headers.join(checked, "digest", "left")
-    body = F.when(F.col("refers_page").isNull(), F.col("payload")).otherwise(F.lit(b""))
-    return joined.select("page_id", "refers_page", "header", "payload", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record"))
+    body = F.when(F.col("revisit"), F.lit(b"")).otherwise(F.col("payload"))
+    return joined.select("page_id", "revisit", "header", "payload", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record"))
 
 
-def parsed(records: DataFrame) -> DataFrame:
-    """Header fields of each record and the digest of its full payload."""
+def _field(name: str) -> Column:
     head = F.split_part(F.col("header").cast("string"), F.lit(CRLF * 2), F.lit(1))
-    field = lambda name: F.nullif(F.regexp_extract(head, rf"\r\n{name}: ([^\r\n]*)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(head, rf"\r\n{name}: ([^\r\n]*)", 1), F.lit(""))
+
+
+def parsed(records: DataFrame, headers: DataFrame) -> DataFrame:
+    """Header fields of each record, the digest of its full payload, and the page
+    that a revisit refers to, found by the record id in its header. A reference
+    to a record that is not there is an error."""
     own = base32_sha1(F.col("payload"))
-    right = field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), own)
-    return records.select(
+    right = _field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), own)
+    fields = records.select(
         "page_id",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(right, own).otherwise(F.raise_error(F.lit("payload does not match its header")).cast("string")).alias("payload_digest"),
-        field("WARC-Type").alias("record_type"),
-        F.col("refers_page").alias("refers_to"),
-        field("WARC-Record-ID").alias("record_id"),
-        field("WARC-Target-URI").alias("target_uri"),
+        _field("WARC-Type").alias("record_type"),
+        _field("WARC-Refers-To").alias("refers_id"),
+        _field("WARC-Record-ID").alias("record_id"),
+        _field("WARC-Target-URI").alias("target_uri"),
         F.octet_length("record").cast("long").alias("record_bytes"),
     )
+    # Narrow rows, written once: the join below then has plain scans on both sides.
+    fields = materialize(fields, "warc-fields")
+    pages = headers.where("NOT revisit").select(_field("WARC-Record-ID").alias("refers_id"), F.col("page_id").alias("refers_to"), F.lit(True).alias("there")).distinct()
+    found = fields.join(materialize(pages, "warc-record-ids"), "refers_id", "left")
+    lost = F.col("refers_id").isNotNull() & F.col("there").isNull()
+    refers_to = F.when(lost, F.raise_error(F.concat(F.lit("no such record: "), "refers_id"))).otherwise(F.col("refers_to"))
+    return found.withColumn("refers_to", refers_to.cast(fields.schema["page_id"].dataType)).select(*[c for c in fields.columns if c != "refers_id"], "refers_to")

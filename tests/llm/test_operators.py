@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeflow.llm import binpack, curriculum, hilbert, language, maxscore, ngram_join, pieces, toolcalls, url_reputation, warc_store
 from gaugeflow.llm.components import components
@@ -403,7 +404,8 @@ def test_warc_round_trip(spark):
     assert payloads.count() == 4
     read = warc_store.read_records(headers, payloads)
     records = [(r["page_id"], bytes(r["record"])) for r in read.collect()]
-    got = [r.asDict() for r in warc_store.parsed(read).collect()]
+    got = [r.asDict() for r in warc_store.parsed(read, headers).collect()]
+    assert sorted(r["record_bytes"] for r in got) == sorted(len(b) for _, b in records)
     sha = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
     first = {}
     for i, _, t in rows:
@@ -421,7 +423,31 @@ def test_warc_round_trip(spark):
             assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
         else:
             assert payload == b"" and "WARC-Refers-To" in fields
-    assert warc_store.parsed(warc_store.read_records(*warc_store.write_archive(frame.limit(0)))).count() == 0
+    none = warc_store.write_archive(frame.limit(0))
+    assert warc_store.parsed(warc_store.read_records(*none), none[0]).count() == 0
+    # A revisit whose response is gone.
+    lost = headers.filter("revisit OR page_id IS NULL OR page_id <> 3")
+    with pytest.raises(Exception, match="no such record"):
+        warc_store.parsed(warc_store.read_records(lost, payloads), lost).collect()
+
+
+def test_warc_html_crosses_the_network_twice(spark):
+    """Without broadcasts: one exchange of payloads to write them, one to read them."""
+    import contextlib
+    import io
+
+    frame = spark.createDataFrame([(i, "u", f"text {i % 7}") for i in range(40)], "page_id long, url string, html string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        records = frame.select("page_id", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.unhex(F.sha2("payload", 256)))
+        headers, payloads = warc_store.write_archive(frame)
+        assert payloads.count() == 7 and records.count() == 40
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            warc_store.read_records(headers, payloads).explain("simple")
+        assert out.getvalue().count("Exchange hashpartitioning(digest") == 2  # headers and payloads, once each
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_warc_refuses_changed_payloads(spark):
@@ -430,7 +456,7 @@ def test_warc_refuses_changed_payloads(spark):
     with pytest.raises(Exception, match="does not match"):
         warc_store.read_records(headers, changed).collect()
     small, _ = warc_store.write_archive(spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab")], "page_id long, url string, html string"), min_bytes=3)
-    assert small.filter("refers_page is null").count() == 2
+    assert small.filter("NOT revisit").count() == 2
 
 
 # --- 8 mixing ------------------------------------------------------------------------------
