@@ -98,31 +98,33 @@ def _search(points, entries, order, gaps, k):
     place = np.zeros(n, np.int64)
     going = np.arange(n) if k > 1 else np.zeros(0, np.int64)
     ahead = np.arange(STRIDE)
+    unmeasured = np.inf if points.dtype == np.float64 else np.iinfo(np.int64).max
     while len(going):
         where = place[going][:, None] + ahead
         there = where < k - 1
         where = np.minimum(where, k - 2)
         stand = best[going]
-        entry = order[stand[:, None], where]
-        near = there & (gaps[stand[:, None], where] <= 4 * least[going][:, None])
-        i, j = np.nonzero(near & ~seen[going[:, None], entry])
+        flat = stand[:, None] * (k - 1) + where
+        entry = order.take(flat)
+        near = there & (gaps.take(flat) <= 4 * least[going][:, None])
+        slot = going[:, None] * k + entry
+        fresh = near & ~seen.take(slot)
+        i, j = np.nonzero(fresh)
         measured = entry[i, j]
-        seen[going[i], measured] = True
-        distance = ((points[going[i]] - entries[measured]) ** 2).sum(axis=1)
+        seen.reshape(-1)[slot[i, j]] = True
+        off = points.take(going[i], axis=0) - entries.take(measured, axis=0)
         # The nearest of the measured ones, ties to the lower entry.
-        rank = np.lexsort((measured, distance, i))
-        first = rank[np.flatnonzero(np.diff(i[rank], prepend=-1))]
-        who, entry_of, least_of = going[i[first]], measured[first], distance[first]
-        better = (least_of < least[who]) | ((least_of == least[who]) & (entry_of < best[who]))
-        moved = who[better]
-        best[moved], least[moved] = entry_of[better], least_of[better]
+        apart = np.full(fresh.shape, unmeasured, points.dtype)
+        apart[i, j] = np.einsum("ij,ij->i", off, off)
+        nearest = apart.min(axis=1)
+        lowest = np.where(fresh & (apart == nearest[:, None]), entry, k).min(axis=1)
+        better = (nearest < least[going]) | ((nearest == least[going]) & (lowest < stand))
+        moved = going[better]
+        best[moved], least[moved] = lowest[better], nearest[better]
         place[going] += STRIDE
         place[moved] = 0
         # Done: the list ended or went beyond twice the distance, without a move.
-        done = ~near.all(axis=1)
-        jumped = np.zeros(n, bool)
-        jumped[moved] = True
-        going = going[~done | jumped[going]]
+        going = going[near.all(axis=1) | better]
     return best, least
 
 
