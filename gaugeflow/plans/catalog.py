@@ -457,15 +457,15 @@ def q_stream_gold_latest(spark, d):
 
 
 def q_payload_files(spark, d):
-    """Station payload documents written indented, one file each, and read back
-    whole: every station of ``supplier``."""
+    """Station payload documents written over several lines each, many to a file, and
+    cut out of its splits again: every station of ``supplier``."""
     from gaugeflow.sources import payloads
 
     base = scratch_path(spark, "payload-files")
-    one_line = payloads.station_payload_text(derived.load(spark, d, "supplier"), keep=("s_suppkey",))
+    one_line = payloads.station_payload_text(derived.load(spark, d, "supplier"))
     # A break before every member and item: no line of a file is a document by itself.
     indented = one_line.withColumn("json", F.regexp_replace("json", r'([{,\[])(["{])', "$1\n  $2"))
-    indented.write.partitionBy("s_suppkey").text(base)
+    indented.select("json").write.text(base)
     return payloads.discover_stations(payloads.read_station_payloads(spark, base))
 
 

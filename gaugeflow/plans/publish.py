@@ -24,6 +24,12 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and without a closing slash, so that spellings of one place compare equal."""
+    p, fs = _fs(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file atomically: a temporary name, then one rename
     that replaces the old file (an error leaves the old file as it was)."""

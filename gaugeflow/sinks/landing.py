@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from gaugeflow.config import ATTRIBUTION
 from gaugeflow.operators.ingest import stamp_batch, with_partition_columns
-from gaugeflow.plans.publish import write_text
-from gaugeflow.sources.payloads import read_documents
+from gaugeflow.plans.publish import qualified, write_text
+from gaugeflow.sources.documents import read_documents
 from gaugeflow.streaming.bronze_stream import write_bronze_batch
 
 
@@ -54,8 +54,7 @@ def copy_raw_feed(spark: SparkSession, src: str, dest: str, bronze_root: str | N
     """Copy a raw JSON feed to Parquet as evidence: one row per document, its
     text untouched, no key minted. ``dest`` belongs to one copy and is replaced by
     a retry; a place inside bronze is refused (nothing minted lies there)."""
-    inside = bronze_root and f"{dest.rstrip('/')}/".startswith(f"{bronze_root.rstrip('/')}/")
-    if inside:
+    if bronze_root and f"{qualified(spark, dest)}/".startswith(f"{qualified(spark, bronze_root)}/"):
         raise ValueError(f"{dest} lies inside bronze")
     read_documents(spark, src).write.mode("overwrite").parquet(dest)
 

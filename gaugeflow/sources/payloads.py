@@ -16,6 +16,7 @@ from gaugeflow.functions.timefns import iso_z
 from gaugeflow.functions.values import falsy_coalesce
 from gaugeflow.schemas import READING_PAYLOAD, STATION_PAYLOAD
 from gaugeflow.sources import derived
+from gaugeflow.sources.documents import read_documents
 
 BRONZE_FIELDS = (
     "reading_id",
@@ -30,34 +31,6 @@ BRONZE_FIELDS = (
 )
 
 
-def is_document(text: Column) -> Column:
-    """Whether the text is one JSON object or array and nothing else. JSON parsers
-    stop behind the first document, so the text is also read as the value of a
-    member with another behind it, and as the only element of an array: no
-    rest of a text passes both."""
-    member = F.try_variant_get(F.try_parse_json(F.concat(F.lit('{"d":'), text, F.lit(',"end":0}'))), "$.end", "int")
-    element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.coalesce(text.rlike(r"^\s*[{\[]") & (member == 0) & element.isNotNull(), F.lit(False))
-
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Column ``json``: the documents of all files below ``path``. A file holds
-    one document per line, or one document over several lines (as an API may
-    return it); a file with any line that is no document has to be of the second
-    kind. A file that is neither (a cut line, several documents over several
-    lines) raises an error, so nothing is lost behind its first document."""
-    lines = spark.read.text(path).select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("file"))
-    lines = lines.where(F.col("json").rlike(r"\S"))
-    kinds = lines.groupBy("file").agg(F.count_if(~is_document(F.col("json"))).alias("broken"))
-    files = spark.read.text(path, wholetext=True)
-    files = files.select(F.col("value").alias("json"), F.col("_metadata.file_path").alias("file")).join(kinds, "file")
-    # The test names ``broken``, so it stays behind the join: only files taken whole are held to it.
-    bad = (F.col("broken") > 0) & ~is_document(F.col("json"))
-    message = F.concat(F.lit("not a JSON document, nor one a line: "), F.col("file"))
-    sound = F.when(bad, F.raise_error(message)).otherwise(F.col("json")).alias("json")
-    return lines.join(kinds, "file").where("broken = 0").select("json").union(files.where("broken > 0").select(sound))
-
-
 def read_reading_payloads(spark: SparkSession, path: str) -> DataFrame:
     return parse_reading_payloads(read_documents(spark, path))
 

@@ -1,7 +1,8 @@
 """Incremental landing of payload files into bronze (Structured Streaming).
 
-``readStream`` over the payload folder → flatten → ``foreachBatch`` writing
-bronze partitioned by ``(dt, batch)`` with dynamic partition overwrite.
+``readStream`` over the lines of the payload folder → ``foreachBatch``: documents cut
+from the micro-batch's splits → flatten → bronze partitioned by ``(dt, batch)``
+with dynamic partition overwrite. A micro-batch holds whole files, so it holds whole documents.
 
 * ``_ingested_at`` / ``_source_batch_id`` come from the input file's
   modification time (to the microsecond, so deliveries of one second keep
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.timefns import batch_name, iso_z
 from gaugeflow.operators.ingest import reading_date
 from gaugeflow.schemas import READING_PAYLOAD
-from gaugeflow.sources.payloads import flatten_readings, is_document
+from gaugeflow.sources.documents import cut_documents, text_lines
+from gaugeflow.sources.payloads import flatten_readings
 
 
 def stamp_from_file(df: DataFrame) -> DataFrame:
@@ -49,26 +51,11 @@ def write_bronze_batch(batch: DataFrame, bronze_root: str) -> None:
     )
 
 
-def landed_stream(spark: SparkSession, payload_dir: str, max_files: int | None = None) -> DataFrame:
-    """Streaming bronze rows (with ``dt`` / ``batch``) from payload files. A
-    file is one document, over any number of lines, or one document per line;
-    text that is neither stops the stream."""
-    r = spark.readStream
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
-    files = r.text(payload_dir, wholetext=True).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_file_mtime"),
-    )
-    parts = F.filter(F.split("value", "\r\n|\r|\n"), lambda x: x.rlike(r"\S"))
-    per_line = F.forall(parts, is_document)
-    documents = F.explode(F.when(per_line, parts).otherwise(F.array("value")))
-    lines = files.select(documents.alias("json"), "_file", "_file_mtime")
-    message = F.concat(F.lit("not a JSON document, nor one a line: "), F.col("_file"))
-    sound = F.when(is_document(F.col("json")), F.col("json")).otherwise(F.raise_error(message))
-    raw = lines.select(F.from_json(sound, READING_PAYLOAD).alias("p"), "_file", "_file_mtime").select("p.*", "_file", "_file_mtime")
-    return stamp_from_file(flatten_readings(raw, keep=("_file", "_file_mtime")))
+def landed_batch(lines: DataFrame) -> DataFrame:
+    """Bronze rows (with ``dt`` / ``batch``) of the payload files whose lines these are."""
+    documents = cut_documents(lines)
+    raw = documents.select(F.from_json("json", READING_PAYLOAD).alias("p"), F.col("file").alias("_file"), F.col("modified").alias("_file_mtime"))
+    return stamp_from_file(flatten_readings(raw.select("p.*", "_file", "_file_mtime"), keep=("_file", "_file_mtime")))
 
 
 def start_ingest(
@@ -80,11 +67,15 @@ def start_ingest(
     max_files: int | None = None,
     every: str = "3 hours",
 ):
-    """Start the landing stream; returns the ``StreamingQuery``."""
+    """Start the landing stream; returns the ``StreamingQuery``. Files are split
+    like those of a batch; text outside documents stops the stream."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
     w = (
-        landed_stream(spark, payload_dir, max_files)
+        text_lines(reader.text(payload_dir))
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, _epoch: write_bronze_batch(df, bronze_root))
+        .foreachBatch(lambda lines, _epoch: write_bronze_batch(landed_batch(lines), bronze_root))
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
     return w.start()

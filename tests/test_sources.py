@@ -45,15 +45,15 @@ def test_flatten_object_and_bare_measure(spark):
 
 
 def test_only_whole_payload_files_are_read(spark):
-    """Documents behind a file's first are read or raise an error, in batch and stream."""
+    """Every document of a file is read, however it is laid out; other text raises an error, in batch and stream."""
     from gaugeflow.streaming.bronze_stream import start_ingest
 
     doc = lambda k: {"requested_station": k, "items": [{"measure": f"m{k}", "dateTime": "2026-06-14T16:15:00Z", "value": 1}]}
     a, b = json.dumps(doc("1")), json.dumps(doc("2"))
     indented = json.dumps(doc("1"), indent=1)
-    sound = {"lines": (f"{a}\n{b}\n", 2), "crlf": (f"{a}\r\n\r\n \t\r\n{b}", 2), "whole": (f"{indented}\n\n", 1)}
-    broken = {"cut": f"{a}\n{b}\n{a[:40]}", "several": f"{indented}\n{json.dumps(doc('2'), indent=1)}\n", "one line": f"{a}{b}\n",
-              "bracket": f"{a}]\n", "rest": f'{a},"x":{b}\n', "brace": f"{a}}}\n"}
+    sound = {"lines": (f"{a}\n{b}\n", 2), "crlf": (f"{a}\r\n\r\n \t\r\n{b}", 2), "whole": (f"{indented}\n\n", 1),
+             "several": (f"{indented}\n{json.dumps(doc('2'), indent=1)}\n", 2), "one line": (f"{a}{b}\n", 2)}
+    broken = {"cut": f"{a}\n{b}\n{a[:40]}", "cut string": f"{a[:30]}\n{b}\n", "bracket": f"{a}]\n", "rest": f'{a},"x":{b}\n', "brace": f"{a}}}\n", "behind": f"{a}\n7\n"}
     for name, text in [*((k, v[0]) for k, v in sound.items()), *broken.items()]:
         base = tempfile.mkdtemp(prefix="gf-payload-")
         os.makedirs(f"{base}/in")
