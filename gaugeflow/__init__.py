@@ -3,7 +3,7 @@
 Every function takes and returns DataFrames; nothing runs until an action.
 """
 
-from gaugeflow.operators.asof import asof_lag
+from gaugeflow.operators.asof import asof_every, asof_lag
 from gaugeflow.operators.checks import DEFAULT_CHECKS, Check, run_checks, summarize, test_stats
 from gaugeflow.operators.forecast import forecast_model, forecast_points, series_with_forecast
 from gaugeflow.operators.gold import gold_latest, gold_series, ordered_series, sort_series_for_write, stage_rows
@@ -29,6 +29,7 @@ from gaugeflow.sources.payloads import discover_stations, flatten_readings
 __all__ = [
     "Check",
     "DEFAULT_CHECKS",
+    "asof_every",
     "asof_lag",
     "build_session",
     "build_silver",

@@ -47,7 +47,7 @@ def cmd_ingest(spark: SparkSession, a: argparse.Namespace) -> dict:
     config = read_station_config(spark, a.config) if a.config else {}
     r = ingest_run(
         spark, a.payloads, a.bronze, config, _parse_ts(a.run_ts), hours=a.hours,
-        meta_path=a.meta,
+        meta_path=a.meta, layout=a.layout,
     )
     return {"run": r.run_ts, "since": r.since, "rows_ingested": r.rows}
 
@@ -59,7 +59,8 @@ def cmd_build(spark: SparkSession, a: argparse.Namespace) -> dict:
 
     as_of = _parse_ts(a.as_of)
     r = run_pipeline(
-        spark, "", a.out, as_of=as_of, bronze_as_of=as_of, bronze=read_bronze(spark, a.bronze), dim=read_dim_csv(spark, a.dim)
+        spark, "", a.out, as_of=as_of, bronze_as_of=as_of, bronze=read_bronze(spark, a.bronze), dim=read_dim_csv(spark, a.dim),
+        layout=a.layout,
     )
     return {"run_id": r.run_id, "folder": r.folder, "published": r.published, **r.summary}
 
@@ -85,6 +86,10 @@ def cmd_trace(spark: SparkSession, a: argparse.Namespace) -> list[dict]:
             for r in trace_by_id(bronze, silver, series, a.id).collect()]
 
 
+#: What the date folders of bronze hold.
+LAYOUTS = ("reading", "run")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="gaugeflow")
     sub = p.add_subparsers(dest="command", required=True)
@@ -95,11 +100,13 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--hours", type=int)
     i.add_argument("--meta")
     i.add_argument("--run-ts")
+    i.add_argument("--layout", choices=LAYOUTS, default="reading")
     b = sub.add_parser("build")
     b.add_argument("--bronze", required=True)
     b.add_argument("--dim", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--as-of")
+    b.add_argument("--layout", choices=LAYOUTS, default="reading")
     d = sub.add_parser("discover")
     d.add_argument("--stations", required=True)
     d.add_argument("--search", default="Trent")

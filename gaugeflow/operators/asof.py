@@ -16,13 +16,19 @@ desc limit 1``) decorrelates into several exchanges. This rewrite is:
    be split.
 
 No window over a key is used, so no task must hold all rows of a key.
+
+:func:`asof_every` looks back from every row instead of the newest one (any number of
+probes per key). It is a segmented prefix scan: probes and values are range-partitioned together on
+(key, time), the last value is carried inside each range, and what crosses
+from one range into the next comes from one row per (range, key), scanned over the few ranges
+that a key spans. A hot key is as many ranges as its rows fill.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.session import materialize
@@ -76,3 +82,54 @@ def asof_lag(
     return anchor.join(best, key, "left").select(
         *key, *[F.col(f"_l_{c}").alias(c) for c in keep], F.col("_best._value").alias(out_col)
     )
+
+
+def asof_every(
+    df: DataFrame,
+    key: Sequence[str] | str,
+    ts: str,
+    value: str,
+    lag: str = "24 hours",
+    tie: str | None = None,
+    out_col: str = "value_lag",
+    tolerance: str | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Every row of ``df`` with ``out_col``, the newest ``value`` of its key with
+    ``ts <= own ts - lag`` (ties to the larger ``tie``; with a ``tolerance`` no older
+    than that before the bound). Rows without a key or a time have none and are none."""
+    key = [key] if isinstance(key, str) else list(key)
+    own = F.struct(*[F.col(c) for c in df.columns])
+    tie_of = F.col(tie or ts)
+    usable = F.col(ts).isNotNull()
+    for c in key:
+        usable = usable & F.col(c).isNotNull()
+    part = lambda at, kind, row, seen: F.struct(at.alias("at"), F.lit(kind).alias("kind"), row.alias("row"), seen.alias("seen"))
+    seen = F.struct(F.col(ts).alias("at"), F.col(value).alias("value"))
+    # Each row is a value at its own time and a probe at the bound, from one scan.
+    as_value = F.when(usable, part(F.col(ts), 0, F.when(F.lit(False), own), seen))
+    as_probe = part(F.col(ts) - F.expr(f"INTERVAL {lag}"), 1, own, F.when(F.lit(False), seen))
+    keys = [f"_k{i}" for i in range(len(key))]
+    both = df.select(
+        *[F.col(c).alias(k) for c, k in zip(key, keys)], tie_of.alias("_tie"), F.explode(F.array(as_value, as_probe)).alias("_p")
+    ).where("_p IS NOT NULL")
+    order = [*[F.col(k) for k in keys], F.col("_p.at"), F.col("_p.kind"), F.col("_tie")]
+    ranged = both.repartitionByRange(ranges, *order) if ranges else both.repartitionByRange(*order)
+    ranged = materialize(ranged.withColumn("_range", F.spark_partition_id()), "asof-ranges")
+
+    inside = Window.partitionBy("_range", *keys).orderBy("_p.at", "_p.kind", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    carried = ranged.select("_range", *keys, "_p", F.last("_p.seen", ignorenulls=True).over(inside).alias("_inside"))
+    # One row per (range, key): its last value, and from it what the earlier ranges hand on.
+    last = F.max_by("_p.seen", F.struct("_p.at", "_tie"))
+    ends = ranged.where("_p.kind = 0").groupBy("_range", *keys).agg(last.alias("_last"))
+    ends = materialize(ends, "asof-range-ends")
+    spans = ranged.groupBy(*keys).agg(F.min("_range").alias("_from"), F.max("_range").alias("_to")).where("_to > _from")
+    across = spans.select(*keys, F.explode(F.sequence("_from", "_to")).alias("_range")).join(ends, ["_range", *keys], "left")
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = across.select("_range", *keys, F.last("_last", ignorenulls=True).over(earlier).alias("_before")).where("_before IS NOT NULL")
+    found = carried.where("_p.kind = 1").join(handed, ["_range", *keys], "left")
+    best = F.coalesce("_inside", "_before")
+    near = best["at"].isNotNull()
+    if tolerance:
+        near = near & (best["at"] >= F.col("_p.at") - F.expr(f"INTERVAL {tolerance}"))
+    return found.select("_p.row.*", F.when(near, best["value"]).alias(out_col))

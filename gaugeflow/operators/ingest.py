@@ -45,16 +45,15 @@ def rows_per_day(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy(reading_date().alias("dt")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def bronze_window(bronze: DataFrame, as_of, days: int = 90) -> DataFrame:
+def bronze_window(bronze: DataFrame, as_of, days: int = 90, by: str = "reading") -> DataFrame:
     """Bronze rows whose reading time is within ``days`` of ``as_of``
     (inclusive; the text time is cast in the predicate, so bad text is an
-    error as in the strict cast). With a ``dt`` partition column the bound
-    ``dt >= date(cutoff)`` prunes older folders: it is safe whether ``dt`` is
-    the reading date or the (never earlier) run date. No upper bound on
-    ``dt`` is used, as a run date may lie after the window."""
+    error as in the strict cast). With a ``dt`` partition column that holds the reading
+    date, the bound ``dt >= date(cutoff)`` prunes older folders. In the run-date
+    layout (``by='run'``) a reading may be stamped after its run, so no folder is left out."""
     now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
     cutoff = now - F.expr(f"INTERVAL {int(days)} DAYS")
     rows = bronze.where(F.col("date_time").cast("timestamp_ntz") >= cutoff)
-    if "dt" in bronze.columns:
+    if "dt" in bronze.columns and by == "reading":
         rows = rows.where(F.col("dt") >= F.to_date(cutoff))
     return rows

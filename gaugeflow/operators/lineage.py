@@ -71,9 +71,10 @@ def lineage_flat(bronze: DataFrame, silver: DataFrame, series: DataFrame, by: st
         "reading_id", "station_reference", "station_label", "date_time_utc", F.col("value").alias("gold_value"), "unit_name"
     )
     # Copies are combined before the join, map-side first: a key with very many
-    # copies reaches it as one row.
-    copies = semi_in(copy_summary(dated(bronze, series, by)), series)
-    kept = semi_in(silver, series).select(
+    # copies reaches it as one row. The left joins keep the plotted keys alone, so the
+    # series is read once here (and once more for the first date, where that prunes).
+    copies = copy_summary(dated(bronze, series, by))
+    kept = silver.select(
         "reading_id",
         F.col("value").alias("silver_value"),
         "quality_flag",
@@ -99,10 +100,10 @@ def lineage_flat(bronze: DataFrame, silver: DataFrame, series: DataFrame, by: st
     )
 
 
-def lineage_nested(bronze: DataFrame, silver: DataFrame, series: DataFrame) -> DataFrame:
+def lineage_nested(bronze: DataFrame, silver: DataFrame, series: DataFrame, by: str = "reading") -> DataFrame:
     """The lineage document per key as nested structs; a missing silver row
     gives a null ``silver`` struct. Time values are text as in the document."""
-    flat = lineage_flat(bronze, silver, series)
+    flat = lineage_flat(bronze, silver, series, by)
     silver_part = F.when(
         F.col("quality_flag").isNotNull(),
         F.struct(
@@ -129,9 +130,9 @@ def lineage_nested(bronze: DataFrame, silver: DataFrame, series: DataFrame) -> D
     )
 
 
-def lineage_records(bronze: DataFrame, series: DataFrame) -> DataFrame:
+def lineage_records(bronze: DataFrame, series: DataFrame, by: str = "reading") -> DataFrame:
     """Raw bronze copies of every plotted key, one row per copy."""
-    return bronze_copy_rows(bronze_of_series(bronze, series))
+    return bronze_copy_rows(bronze_of_series(bronze, series, by))
 
 
 def sort_records_for_write(records: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from gaugeflow.functions.keys import mint_reading_id
 from gaugeflow.functions.timefns import to_ntz
 from gaugeflow.functions.values import try_double
 from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver, trace
-from gaugeflow.operators.asof import asof_lag
+from gaugeflow.operators.asof import asof_every, asof_lag
 from gaugeflow.session import materialize as materialize_table
 from gaugeflow.session import scratch_path
 from gaugeflow.sources import derived
@@ -590,6 +590,40 @@ def q_published_after_failed_run(spark, d):
     return _published(spark, d, _one_measure_per_station(b), b)
 
 
+def q_asof_every_reading(spark, d):
+    """The change over 24 h at every stage reading, not only the newest."""
+    st = stage_table(spark, d, ("reading_id", "measure", "date_time_utc", "value"))
+    r = asof_every(st, "measure", "date_time_utc", "value", lag="24 hours", tie="reading_id", out_col="value_24h_ago")
+    return r.withColumn("change_24h", F.round(F.col("value") - F.col("value_24h_ago"), 3))
+
+
+#: A run whose clock is behind: all its readings are stamped after it.
+LATE_CLOCK = datetime(2024, 1, 1, 0, 0, 0)
+
+
+def _run_date_bronze(spark, d):
+    """Bronze as files landed by run date, with the stamps of the copies."""
+    from gaugeflow.streaming.bronze_stream import write_bronze_batch
+
+    root = scratch_path(spark, "run-date")
+    b = derived.bronze(spark, d).withColumn("dt", F.lit(LATE_CLOCK).cast("date")).withColumn("batch", F.lit("late-clock"))
+    write_bronze_batch(b, root)
+    return spark.read.parquet(root)
+
+
+def q_lineage_run_date(spark, d):
+    """Lineage over bronze landed by run date, readings stamped after their run."""
+    b = _run_date_bronze(spark, d)
+    s = materialize_table(silver.build_silver(b, with_build_stamp=False), "silver")
+    return lineage.lineage_flat(b, s, gold.gold_series(s, AS_OF_SERIES), by="run")
+
+
+def q_bronze_window_run_date(spark, d):
+    """The 90-day export of bronze landed by run date."""
+    w = ingest.bronze_window(_run_date_bronze(spark, d), AS_OF_BRONZE, 90, by="run")
+    return w.select("reading_id", "measure", "date_time", try_double("value").alias("value"), "_ingested_at")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -653,4 +687,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_offending_values": q_dq_offending_values,
     "published_latest": q_published_latest,
     "published_after_failed_run": q_published_after_failed_run,
+    "asof_every_reading": q_asof_every_reading,
+    "lineage_run_date": q_lineage_run_date,
+    "bronze_window_run_date": q_bronze_window_run_date,
 }

@@ -52,8 +52,9 @@ def ingest_run(
     hours: int | None = None,
     meta_path: str | None = None,
     stations: DataFrame | None = None,
+    layout: str = "reading",
 ) -> IngestResult:
-    """``stations`` (a station table) restricts by semi join instead of the
+    """``layout`` lands by ``reading`` or by ``run`` date. ``stations`` (a station table) restricts by semi join instead of the
     configured list, for station sets too large to list in a config."""
     since = _iso(run_ts - timedelta(hours=dims.lookback_hours(config, hours)))
     run_text = _iso(run_ts)
@@ -65,7 +66,7 @@ def ingest_run(
         flat = dims.pinned_stations(flat, refs)
     # exclusive lower bound on the reading time; rows without a time are kept (silver drops them)
     recent = flat.where(F.col("date_time").isNull() | (F.col("date_time").cast("timestamp_ntz") > F.lit(since).cast("timestamp_ntz")))
-    land_bronze(recent, bronze_root, run_text)
+    land_bronze(recent, bronze_root, run_text, by=layout)
     rows = batch_rows(spark, bronze_root, run_text)
     write_heartbeat(spark, bronze_root, run_text, rows, f"batch={run_text}")
     if meta_path:

@@ -465,6 +465,15 @@ _SQL["payload_files"] = STATIONS[: STATIONS.index("WHERE contains(s_name")]
 _q("dim_csv", "SELECT * FROM dim")
 _SQL["ingest_empty"] = """SELECT '2024-01-30T00:00:00Z' AS last_ingest_utc, '2024-01-28T00:00:00Z' AS since,
        count_if(CAST(user_id AS VARCHAR) = 'no such station') AS rows_ingested, CAST(1 AS BIGINT) AS stations FROM events"""
+_SQL["lineage_run_date"] = _SQL["lineage_flat"]
+_SQL["bronze_window_run_date"] = _SQL["bronze_window_90d"]
+_q(
+    "asof_every_reading",
+    """SELECT s.reading_id, s.measure, s.date_time_utc, s.value, v.value AS value_24h_ago, round(s.value - v.value, 3) AS change_24h
+     FROM (SELECT *, date_time_utc - INTERVAL 24 HOUR AS bound FROM stage) s
+     ASOF LEFT JOIN (SELECT measure, date_time_utc, arg_max(value, reading_id) AS value FROM stage GROUP BY measure, date_time_utc) v
+       ON s.measure = v.measure AND s.bound >= v.date_time_utc""",
+)
 _SQL["lineage_records"] = _SQL["semi_bronze_in_gold"]
 _q(
     "lineage_documents",

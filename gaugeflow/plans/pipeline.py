@@ -64,8 +64,9 @@ def run_pipeline(
     bronze: DataFrame | None = None,
     dim: DataFrame | None = None,
     ingest_meta: str | None = None,
+    layout: str = "reading",
 ) -> RunResult:
-    """Clocks default to now (UTC). ``ingest_meta`` is the document of the last
+    """``layout`` says what ``dt`` of bronze holds, the ``reading`` or the ``run`` date. Clocks default to now (UTC). ``ingest_meta`` is the document of the last
     ingest run, whose time and row count go into the run metadata (nulls when
     there is none)."""
     now = datetime.now(UTC).replace(tzinfo=None)
@@ -82,7 +83,7 @@ def run_pipeline(
     summary = summary_row.asDict()
 
     fc = forecast.forecast_points(series, group="station_reference")
-    bronze_window = ingest.bronze_window(bronze, bronze_as_of, BRONZE_EXPORT_DAYS)
+    bronze_window = ingest.bronze_window(bronze, bronze_as_of, BRONZE_EXPORT_DAYS, layout)
     meta = (
         (read_json_or_nulls(spark, ingest_meta, INGEST_META) if ingest_meta else spark.createDataFrame([(None,) * len(INGEST_META)], INGEST_META))
         .select(
@@ -99,8 +100,8 @@ def run_pipeline(
     artifacts = {
         "forecast": fc,
         "bronze_window": bronze_window,
-        "lineage": lineage.lineage_json(lineage.lineage_nested(bronze, s, series)),
-        "lineage_records": lineage.sort_records_for_write(lineage.lineage_records(bronze, series)),
+        "lineage": lineage.lineage_json(lineage.lineage_nested(bronze, s, series, layout)),
+        "lineage_records": lineage.sort_records_for_write(lineage.lineage_records(bronze, series, layout)),
         "stations": latest,
         "series": series.select("station_reference", "station_label", "date_time_utc", "value", "reading_id"),
         "series_extent": metrics.series_extent(series),
