@@ -16,14 +16,19 @@ Defined cases: a call without result has status ``no_result``; a result without
 call is left to ``orphans``; of rows that repeat an identifier the one with
 the smallest (turn, ...) counts; needs that name no call of the same conversation are ignored; calls on
 or behind a cycle have a null level and status ``cycle``; null, empty or
-malformed arguments are ``bad_arguments``, a name without schema is
+malformed arguments are ``bad_arguments``, and so are numbers beyond doubles and values
+nested deeper than ``MOST_DEPTH``; half a surrogate pair in arguments is written as its escape; a name without schema is
 ``unknown_tool``. Of several troubles the first of this order is given:
-cycle, unknown_tool, bad_arguments, no_result. Null identifiers take no part.
+cycle, unknown_tool, bad_arguments, no_result. Null identifiers take no part. Long arguments
+are parsed whole, one row at a time; empty tables give no rows. Only the named columns are read,
+so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -35,8 +40,26 @@ from gaugeflow.llm.base import materialize
 KINDS = {"string": (str,), "integer": (int,), "number": (int, float), "boolean": (bool,), "object": (dict,), "array": (list,)}
 
 
+MOST_DEPTH = 300
+#: Half of a surrogate pair: valid as an escape, but not as UTF-8.
+HALF = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return HALF.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def writable(value: object) -> bool:
+    """Whether JSON can hold it: finite numbers, nested no deeper than ``MOST_DEPTH``."""
+    level = [value]
+    for _ in range(MOST_DEPTH + 1):
+        if any(isinstance(v, float) and not math.isfinite(v) for v in level):
+            return False
+        level = [x for v in level if isinstance(v, (dict, list)) for x in (v.values() if isinstance(v, dict) else v)]
+        if not level:
+            return True
+    return False
 
 
 def fits(value: object, schema: Mapping) -> bool:
@@ -61,7 +84,7 @@ def checked(arguments: str | None, schema: Mapping | None) -> tuple[str | None,
         value = json.loads(arguments or "", parse_constant=lambda c: 1 / 0)
     except (ValueError, ZeroDivisionError, RecursionError):
         return "bad_arguments", None
-    return (None, value) if fits(value, schema) else ("bad_arguments", None)
+    return (None, value) if writable(value) and fits(value, schema) else ("bad_arguments", None)
 
 
 def levels(edges: DataFrame) -> DataFrame:

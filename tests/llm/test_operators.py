@@ -598,3 +598,24 @@ def test_levels_of_random_graphs(spark):
     want = {n: level(n) for n in below if level(n) is not None}
     got = toolcalls.depths(spark.createDataFrame(sorted(single.items()), "call_id string, needs string"))
     assert {r["call_id"]: r["level"] for r in got.collect()} == want
+
+
+def test_arguments_that_json_takes_but_text_does_not(spark):
+    """Half surrogate pairs, numbers beyond doubles and deep nesting have defined results."""
+    schemas = {"t": {"type": "object", "required": ["text"], "properties": {"text": {"type": "string"}}},
+               "a": {"type": "array"}, "n": {"type": "number"}}
+    deep = lambda n: "[" * n + "]" * n
+    given = [("t", '{"text":"\\ud800"}', "ok"), ("t", '{"text":"\\ud83d\\ude00"}', "ok"), ("t", '{"te\\udc00xt":"x"}', "bad_arguments"),
+             ("n", "1e999", "bad_arguments"), ("n", "-1e999", "bad_arguments"), ("n", "1e308", "ok"), ("a", "[1e999]", "bad_arguments"),
+             ("a", deep(300), "ok"), ("a", deep(302), "bad_arguments"), ("a", deep(600), "bad_arguments"), ("a", deep(2000), "bad_arguments"),
+             ("a", deep(20000), "bad_arguments"), ("n", "9" * 5000, "bad_arguments"), ("a", "[" + "1," * 20000 + "1]", "ok")]
+    calls = spark.createDataFrame([(1, f"c{i}", i, n, a) for i, (n, a, _) in enumerate(given)], "conv_id long, call_id string, turn int, name string, arguments string")
+    results = calls.selectExpr("call_id", "turn", "'r' as content")
+    # Columns with the names of the result.
+    calls, results = (d.selectExpr("*", "1 as status", "2 as message", "3 as level", "4 as open") for d in (calls, results))
+    rows = {r["call_id"]: r for r in toolcalls.link(calls, spark.createDataFrame([], "call_id string, needs string"), results, schemas).collect()}
+    assert [rows[f"c{i}"]["status"] for i in range(len(given))] == [s for _, _, s in given]
+    assert '"text":"\\ud800"' in rows["c0"]["message"] and '"text":"😀"' in rows["c1"]["message"]
+    for i, (_, arguments, status) in enumerate(given):
+        read = json.loads(rows[f"c{i}"]["message"], parse_constant=lambda c: 1 / 0)["arguments"]
+        assert read == (json.loads(arguments) if status == "ok" else None)

@@ -105,3 +105,27 @@ def test_stages_keep_columns_of_any_name(spark):
         assert all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names)
         assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in plain.collect())
     corpus_pipeline.STAGES[3][1](spark, wide, SF).collect()
+
+
+def test_stages_take_columns_of_odd_names(spark):
+    """Dots, quotes, colons, and capitals like those of a column that a stage reads."""
+    odd = ["a.b", "a`b", "a:b", "Text", "DOC_ID", "x y", "_row", "_rest", "c0", "Ünï"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    wide = docs.select("*", *[docs["doc_id"].cast("string").alias(f"n{i}") for i in range(len(odd))]).toDF(*docs.columns, *odd)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        own = stage(spark, wide, SF)
+        assert own.columns == wide.columns
+        rows = [tuple(r) for r in own.collect()]
+        assert rows and all(r[len(docs.columns) + i] == str(r[0]) for r in rows for i in range(len(odd)))
+        assert sorted(r[0] for r in rows) == sorted(r["doc_id"] for r in stage(spark, docs, SF).collect())
+    assert len(corpus_pipeline.STAGES[3][1](spark, wide, SF).collect()) == 40
+
+
+def test_ids_that_repeat_with_other_texts(spark):
+    """A near copy goes, whichever of its id's texts it is."""
+    words = [f"w{i}" for i in range(60)]
+    near, other = " ".join(words), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, other), (1, near), (0, near + " more"), (None, near + " yet"), (1, near), (2, None), (2, ""), (None, None), (None, "alone by itself")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in pipeline_stages.ngram_jaccard_join(spark, docs, SF).collect()), key=repr)
+    assert got == sorted([(0, near + " more"), (1, other), (2, None), (2, ""), (None, None), (None, "alone by itself")], key=repr)
