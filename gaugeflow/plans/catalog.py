@@ -372,7 +372,7 @@ def q_stream_latest(spark, d):
     base = _stream_silver_folder(spark, d)
     q = silver_stream.start_latest(spark, f"{base}/silver", f"{base}/latest", f"{base}/_chk_latest")
     q.awaitTermination()
-    return silver_stream.read_latest(spark, f"{base}/latest")
+    return silver_stream.read_newest(spark, f"{base}/latest")
 
 
 def q_landed_bronze_days(spark, d):
