@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -538,18 +539,53 @@ def q_trace_records(spark, d):
     return trace.trace_records(L.bronze, _traced_key(L))
 
 
-def q_series_stored_order(spark, d):
-    """The gold series written in its physical order, read back with every row's
-    position: ordinal over the files in name order. A running sum over file
-    counts gives the offsets, so no task sorts or numbers all rows."""
-    path = scratch_path(spark, "series-order")
-    gold.sort_series_for_write(layers(spark, d, materialize=False).series).write.parquet(path)
+def with_positions(ordered: DataFrame, name: str) -> DataFrame:
+    """An ordered table written and read back with every row's position: ordinal over the
+    files in name order. A running sum over file counts gives the offsets, so no
+    task sorts or numbers all rows."""
+    spark, path = ordered.sparkSession, scratch_path(ordered.sparkSession, name)
+    ordered.write.parquet(path)
     stored = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     sizes = stored.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("file", before.alias("offset"))
     position = (F.col("offset") + F.col("row") + 1).cast("long").alias("position")
-    return stored.join(offsets, "file").select("reading_id", "station_reference", "date_time_utc", position)
+    return stored.join(offsets, "file").select(*ordered.columns, position)
+
+
+def q_series_stored_order(spark, d):
+    """The gold series written in its physical order, read back with every row's position."""
+    ordered = gold.sort_series_for_write(layers(spark, d, materialize=False).series)
+    return with_positions(ordered, "series-order").select("reading_id", "station_reference", "date_time_utc", "position")
+
+
+def q_series_by_time(spark, d):
+    """The series as a chart reads it, by time over all stations."""
+    ordered = gold.ordered_series(layers(spark, d, materialize=False).series)
+    return with_positions(ordered, "series-time").select("reading_id", "date_time_utc", "position")
+
+
+def q_lineage_record_order(spark, d):
+    """The bronze copies of all plotted keys as they are stored, oldest ingest first per key."""
+    L = layers(spark, d, materialize=False)
+    ordered = lineage.sort_records_for_write(lineage.lineage_records(L.bronze, L.series))
+    return with_positions(ordered, "record-order").select("reading_id", "ingested_at", "position")
+
+
+def q_trace_record_order(spark, d):
+    """The bronze copies of one literal key in the order in which a trace shows them."""
+    L = layers(spark, d)
+    return with_positions(trace.trace_records(L.bronze, _traced_key(L)), "trace-order")
+
+
+def q_headline_rank(spark, d):
+    """Rows of the headline in their order, one per station."""
+    latest = gold.gold_latest(stage_of(_one_measure_per_station(derived.bronze(spark, d))), derived.stations(spark, d))
+    return with_positions(metrics.headline_ordered(latest), "headline").select("station_reference", "above_threshold", "position")
+
+
+def stage_of(bronze: DataFrame) -> DataFrame:
+    return materialize_table(gold.stage_rows(silver.build_silver(bronze, with_build_stamp=False)), "stage")
 
 
 def q_forecast_station_month(spark, d):
@@ -597,6 +633,55 @@ def q_asof_every_reading(spark, d):
     return r.withColumn("change_24h", F.round(F.col("value") - F.col("value_24h_ago"), 3))
 
 
+def _published_root(spark, d):
+    from gaugeflow.plans import pipeline
+
+    root = scratch_path(spark, "published")
+    pipeline.run_pipeline(spark, d, root, as_of=AS_OF_SERIES, bronze_as_of=AS_OF_BRONZE, bronze=_one_measure_per_station(derived.bronze(spark, d)))
+    return root
+
+
+def q_run_document(spark, d):
+    """The run document that a published run leaves, read back with its stages."""
+    from gaugeflow.plans import publish
+
+    doc = publish.read_published(spark, _published_root(spark, d), "run_meta", fmt="json")
+    stages = F.array_join(F.transform("stages", lambda s: F.concat(s["name"], F.lit(":"), s["status"])), ",")
+    return doc.select("silver_rows", "stations", "above_threshold", "tests_passed", "tests_total", stages.alias("stages"), "status", "attribution")
+
+
+def q_layer_views(spark, d):
+    """Rows of every published layer, counted through the SQL views over it."""
+    from gaugeflow.sources import views
+
+    views.register_published(spark, _published_root(spark, d))
+    parts = [spark.sql(f"SELECT '{v}' AS view, count(*) AS rows, count(DISTINCT reading_id) AS keys FROM {v}") for v in views.LAYER_VIEWS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_heartbeat(spark, d):
+    """The heartbeat of a batch run and the health read from it."""
+    from gaugeflow.plans.ingest import ingest_run
+    from gaugeflow.sources import payloads
+
+    base = scratch_path(spark, "heartbeat")
+    payloads.reading_payload_text(derived.load(spark, d, "events")).write.text(f"{base}/payloads")
+    ingest_run(spark, f"{base}/payloads", f"{base}/bronze", {"stations": []}, INGEST_RUN_TS, hours=INGEST_LOOKBACK_HOURS, stations=derived.stations(spark, d))
+    return metrics.heartbeat_health(spark, f"{base}/bronze/_latest.json", AS_OF_FRESHNESS).select("last_run_utc", "rows", "age_minutes", "stale", "health_status")
+
+
+def q_test_stats(spark, d):
+    """Passed and all tests of a run-results document in which other entries stand between them."""
+    from gaugeflow.sources.meta import read_test_results
+
+    path = scratch_path(spark, "run-results")
+    entry = lambda name, status: F.struct(name.alias("unique_id"), status.alias("status"))
+    models = _dq(spark, d).select(F.explode(F.array(entry(F.col("test_id"), F.col("status")), entry(F.concat(F.lit("model."), "model"), F.lit("pass")))).alias("r"))
+    # One document, of as many entries as there are checks.
+    models.agg(F.collect_list("r").alias("results")).write.json(path)
+    return checks.test_stats(read_test_results(spark, path))
+
+
 #: A run whose clock is behind: all its readings are stamped after it.
 LATE_CLOCK = datetime(2024, 1, 1, 0, 0, 0)
 
@@ -688,6 +773,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_latest": q_published_latest,
     "published_after_failed_run": q_published_after_failed_run,
     "asof_every_reading": q_asof_every_reading,
+    "series_by_time": q_series_by_time,
+    "lineage_record_order": q_lineage_record_order,
+    "trace_record_order": q_trace_record_order,
+    "headline_rank": q_headline_rank,
+    "run_document": q_run_document,
+    "layer_views": q_layer_views,
+    "heartbeat": q_heartbeat,
+    "test_stats": q_test_stats,
     "lineage_run_date": q_lineage_run_date,
     "bronze_window_run_date": q_bronze_window_run_date,
 }

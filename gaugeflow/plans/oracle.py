@@ -9,6 +9,8 @@ only to check the Spark results.
 
 from __future__ import annotations
 
+from gaugeflow.config import ATTRIBUTION
+
 BASE = r"""
 WITH ev AS (
   SELECT event_id, ts, user_id, value,
@@ -510,6 +512,33 @@ _MEASURE = "|| CASE WHEN user_id % 15 = 0 THEN '-' || strftime(ts, '%Y-%m-%d') E
 _SQL["published_latest"] = _SQL["gold_station_latest"].replace(_MEASURE, "AS measure")
 _SQL["published_after_failed_run"] = _SQL["published_latest"]
 
+_q(
+    "series_by_time",
+    "SELECT reading_id, date_time_utc, row_number() OVER (ORDER BY date_time_utc NULLS LAST, reading_id NULLS LAST) AS position FROM series",
+)
+_q(
+    "lineage_record_order",
+    """SELECT reading_id, CAST(_ingested_at AS TIMESTAMP) AS ingested_at,
+       row_number() OVER (ORDER BY reading_id, CAST(_ingested_at AS TIMESTAMP)) AS position
+     FROM bronze WHERE reading_id IN (SELECT reading_id FROM series)""",
+)
+_SQL["trace_record_order"] = f"""SELECT *, row_number() OVER (ORDER BY ingested_at, source_batch_id) AS position FROM ({_SQL["trace_records"]})"""
+_ONE_MEASURE = BASE.replace(_MEASURE, "AS measure")
+_SQL["headline_rank"] = _ONE_MEASURE + """SELECT station_reference, above_threshold,
+       row_number() OVER (ORDER BY above_threshold DESC NULLS LAST, station_reference NULLS LAST, latest_value DESC) AS position FROM gold_latest"""
+_SQL["run_document"] = _ONE_MEASURE + DQ + f"""SELECT (SELECT count(*) FROM silver) AS silver_rows,
+       (SELECT count(*) FROM gold_latest) AS stations, (SELECT count_if(above_threshold) FROM gold_latest)::BIGINT AS above_threshold,
+       tests_passed, tests_total, 'ingest:ok,build:ok,test:ok,publish:ok' AS stages, 'ok' AS status, '{ATTRIBUTION}' AS attribution
+     FROM dq_summary"""
+_SQL["layer_views"] = _ONE_MEASURE + """SELECT 'gold_station_latest' AS view, count(*) AS rows, count(DISTINCT reading_id) AS keys FROM gold_latest
+     UNION ALL SELECT 'gold_series', count(*), count(DISTINCT reading_id) FROM series
+     UNION ALL SELECT 'silver_readings', count(*), count(DISTINCT reading_id) FROM silver
+     UNION ALL SELECT 'bronze', count(*), count(DISTINCT reading_id) FROM bronze
+       WHERE CAST(date_time AS TIMESTAMP) >= TIMESTAMP '2024-04-10 00:00:00' - INTERVAL 90 DAY"""
+_SQL["heartbeat"] = f"""SELECT '2024-01-30T00:00:00Z' AS last_run_utc, count(*) AS rows, CAST(1440 AS BIGINT) AS age_minutes, true AS stale,
+       'stale' AS health_status FROM ({_SQL["ingest_run"]})"""
+_q("test_stats", "SELECT tests_passed, tests_total FROM dq_summary", DQ)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -37,7 +37,7 @@ def _materialise(spark: SparkSession, df: DataFrame, path: str, partition_by: st
     if partition_by:
         # Rows of one folder meet in few tasks; a large folder is split by AQE.
         w = df.hint("rebalance", partition_by).write.mode("errorifexists").partitionBy(partition_by)
-    w.parquet(path)
+    pub.key_index(w, df).parquet(path)
     return spark.read.parquet(path)
 
 

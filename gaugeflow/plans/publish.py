@@ -10,6 +10,8 @@ last good version in place. No path is ever overwritten while it is read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     that replaces the old file (an error leaves the old file as it was)."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     p, fs = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    # A name of its own, so that two writers of one file do not meet in it.
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
@@ -111,6 +114,12 @@ def read_published(spark: SparkSession, root: str, artifact: str, fmt: str = "pa
     return reader.json(f"{folder}/{artifact}") if fmt == "json" else reader.parquet(f"{folder}/{artifact}")
 
 
+def key_index(writer, df: DataFrame, key: str = "reading_id"):
+    """Parquet Bloom filters on the key, which is a digest: every row group's
+    range of keys holds every key, so only a filter tells which group has it."""
+    return writer.option(f"parquet.bloom.filter.enabled#{key}", "true") if key in df.columns else writer
+
+
 def write_artifacts(
     artifacts: dict[str, DataFrame], folder: str, formats: dict[str, str] | None = None, max_workers: int = 4
 ) -> None:
@@ -123,7 +132,7 @@ def write_artifacts(
             if fmt == "json":
                 w.option("ignoreNullFields", "false").json(f"{folder}/{name}")
             else:
-                w.parquet(f"{folder}/{name}")
+                key_index(w, df).parquet(f"{folder}/{name}")
 
         return run
 
@@ -138,7 +147,9 @@ def publish(spark: SparkSession, root: str, run_id: str, publishable: bool) -> b
 
 
 def run_meta_document(meta: DataFrame) -> DataFrame:
-    """The run-metadata document (one row) with derived stage statuses."""
+    """The run-metadata document (one row) with stage statuses. A run that gets here has
+    ingested (also nothing) and built; its checks and its publish are as its status says, so
+    every stage of a published run is ``ok``."""
     ok = F.col("status") == "ok"
     stage = lambda name, good: F.struct(F.lit(name).alias("name"), F.when(good, "ok").otherwise("failed").alias("status"))
     return meta.select(
@@ -153,7 +164,7 @@ def run_meta_document(meta: DataFrame) -> DataFrame:
             *[
                 stage(name, good)
                 for name, good in zip(
-                    PIPELINE_STAGES, (F.col("rows_ingested") > 0, F.col("silver_rows") > 0, ok, ok), strict=True
+                    PIPELINE_STAGES, (F.lit(True), F.lit(True), ok, ok), strict=True
                 )
             ]
         ).alias("stages"),

@@ -3,7 +3,11 @@
 :func:`read_bronze` unions every Parquet file under a root by column name
 even when files disagree on the type of ``value`` (double, text, all-null
 or missing) — a case where ``mergeSchema`` and an explicit schema both fail.
-Files are listed with the ``binaryFile`` source without reading their
+
+Where the writer recorded the kind of ``value`` when the files landed (a ``kind`` folder,
+:func:`write_drifted`), each kind is one scan of the root with its own schema and a partition filter:
+no footers are read and no paths are gathered. Files of other writers are
+told apart by their footers. They are listed with the ``binaryFile`` source without reading their
 content and each task reads only the footers of its files. Where all footers
 agree the root is read as it is. Otherwise the folders are told apart by
 schema (a folder whose files disagree file by file), each schema is read once
@@ -19,9 +23,11 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.schemas import BRONZE
 from gaugeflow.session import materialize
+from gaugeflow.sources.meta import path_exists
 
 _FOOTER_SCHEMA = "path string, signature string"
 #: Hadoop's names of schemes that the footer reader knows under another one.
@@ -104,9 +110,31 @@ def _paths_by_schema(files: DataFrame, root: str) -> list[list[str]]:
     return [sorted(p) for _, p in sorted(paths.items())]
 
 
+#: Kinds of ``value`` that landing records, and the type their files have.
+KINDS = {"double": T.DoubleType(), "text": T.StringType(), "missing": None}
+
+
+def read_kinds(spark: SparkSession, root: str, with_file: bool = False) -> DataFrame | None:
+    """Files landed with their kind recorded; None where the root has no such folders."""
+    kinds = [k for k in KINDS if path_exists(spark, f"{root}/kind={k}")]
+    parts = []
+    for kind in kinds:
+        fields = [f for f in BRONZE.fields if f.name != "value"]
+        schema = T.StructType(fields + ([T.StructField("value", KINDS[kind])] if KINDS[kind] else []))
+        # The kind's own schema holds for its folder alone, which is all that the filter leaves.
+        df = spark.read.schema(schema).parquet(root).where(F.col("kind") == kind)
+        if with_file:
+            df = df.withColumn("_file", F.col("_metadata.file_path"))
+        parts.append(_as_bronze_text(df))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
 def read_bronze(spark: SparkSession, root: str, with_file: bool = False) -> DataFrame:
     """All bronze files below ``root`` as text columns of the bronze schema
     (plus partition columns such as ``dt`` / ``batch`` when the layout has them)."""
+    recorded = read_kinds(spark, root, with_file)
+    if recorded is not None:
+        return recorded
     parts = []
     for paths in _paths_by_schema(file_signatures(spark, root), root):
         df = spark.read.option("basePath", root).parquet(*paths)
@@ -119,8 +147,8 @@ def read_bronze(spark: SparkSession, root: str, with_file: bool = False) -> Data
 
 
 def write_drifted(bronze: DataFrame, root: str) -> None:
-    """Land bronze rows as three kinds of file: ``value`` as double where it
-    parses, as text where it does not, and without the column where null."""
+    """Land bronze rows as three kinds of file, each in the folder of its kind: ``value`` as
+    double where it parses, as text where it does not, and without the column where null."""
     numeric = F.col("value").try_cast("double")
     bronze.where(numeric.isNotNull()).withColumn("value", numeric).write.mode("append").parquet(f"{root}/kind=double")
     bronze.where(F.col("value").isNotNull() & numeric.isNull()).write.mode("append").parquet(f"{root}/kind=text")

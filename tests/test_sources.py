@@ -146,3 +146,43 @@ def test_run_results_stats_count_only_passes(spark):
         json.dump(doc, f, indent=2)
     r = test_stats(meta.read_test_results(spark, f"{d}/run_results.json")).first()
     assert (r.tests_passed, r.tests_total) == (2, 3)
+
+
+def test_recorded_kinds_are_read_without_footers(spark, tmp_path, monkeypatch):
+    """Landing records the kind of ``value``: each kind is one filtered scan of the root."""
+    schema = "reading_id string, measure string, date_time string, value string, _ingested_at string, _source_batch_id string, dt date"
+    rows = [(k, "m", "2026-06-14T16:15:00Z", v, "2026-06-14T17:00:00Z", "b", None) for k, v in (("a", "1.5"), ("b", "n/a"), ("c", None))]
+    root = str(tmp_path)
+    bronze_src.write_drifted(spark.createDataFrame(rows, schema), root)
+    bronze_src.write_drifted(spark.createDataFrame([("d", *rows[0][1:])], schema), root)
+    monkeypatch.setattr(bronze_src, "file_signatures", lambda *a: 1 / 0)
+    df = bronze_src.read_bronze(spark, root, with_file=True)
+    assert {r.reading_id: r.value for r in df.collect()} == {"a": "1.5", "b": "n/a", "c": None, "d": "1.5"}
+    assert all("kind=" in r._file for r in df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(kind") == 3 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_key_filters_skip_row_groups(spark, tmp_path):
+    """A digest that is not there lies inside every row group's range; the filter rules them all out."""
+    from pyspark.sql import functions as F
+
+    from gaugeflow.plans.publish import key_index
+
+    rows = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("reading_id"), F.col("id").alias("v"))
+    key_index(rows.write, rows).parquet(f"{tmp_path}/with")
+    rows.write.parquet(f"{tmp_path}/without")
+    missing = "7" + "0" * 31
+    read = {}
+    for name in ("with", "without"):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            found = spark.read.parquet(f"{tmp_path}/{name}").where(F.col("reading_id") == missing)
+            assert found.collect() == []
+            scan = found._jdf.queryExecution().executedPlan()
+            while "Scan" not in scan.nodeName():
+                scan = scan.children().head()
+            read[name] = scan.metrics().get("numOutputRows").get().value()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read["with"] == 0 < read["without"]
