@@ -7,11 +7,20 @@ way (keyed semi joins and one aggregate). A single literal key becomes an
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.config import SERIES_WINDOW_DAYS
 from gaugeflow.functions.keys import sanitize_reading_id
+from gaugeflow.functions.values import quality_flag
+from gaugeflow.operators.gold import stage_rows, window_cutoff
 from gaugeflow.operators.lineage import bronze_copy_rows
+from gaugeflow.operators.silver import typed_readings
+
+#: Which copy of a key silver keeps: the largest of these.
+COPY_ORDER = ("ingested_at", "source_batch_id", "value")
 
 
 def ids_frame(spark: SparkSession, reading_id: str) -> DataFrame:
@@ -88,3 +97,14 @@ def most_copied_plotted_key(bronze: DataFrame, series: DataFrame) -> DataFrame:
     a data-derived key to trace."""
     copies = bronze.join(series.select("reading_id"), "reading_id", "left_semi").groupBy("reading_id").count()
     return copies.orderBy(F.col("count").desc(), F.col("reading_id").asc()).limit(1).select("reading_id")
+
+
+def most_copied_in_one_pass(bronze: DataFrame, as_of: datetime | None = None, days: int = SERIES_WINDOW_DAYS) -> DataFrame:
+    """The same key without the layers: one aggregate over bronze counts the copies of a
+    key and keeps the one that silver would, which says whether it is plotted."""
+    typed = typed_readings(bronze)
+    payload = [c for c in typed.columns if c not in ("reading_id", *COPY_ORDER)]
+    kept = typed.groupBy("reading_id").agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct(*COPY_ORDER, *payload)).alias("_k"))
+    flagged = kept.select("reading_id", "copies", "_k.*").withColumn("quality_flag", quality_flag("value"))
+    plotted = stage_rows(flagged).where(F.col("date_time_utc") >= window_cutoff(as_of, days))
+    return plotted.orderBy(F.col("copies").desc(), F.col("reading_id").asc()).limit(1).select("reading_id")

@@ -185,10 +185,10 @@ def q_lineage_nested(spark, d):
 
 
 def q_trace_one(spark, d):
-    L = layers(spark, d)
-    # The data-derived key is read by four lookups: compute it once.
-    target = materialize_table(trace.most_copied_plotted_key(L.bronze, L.series), "trace-target")
-    return trace.trace(L.bronze, L.silver, L.series, target)
+    """One data-derived key through all layers. The key reaches the scan of bronze
+    below each layer (also through silver's window), so no layer is built for it."""
+    L = layers(spark, d, materialize=False)
+    return trace.trace_by_id(L.bronze, L.silver, L.series, _traced_key(L))
 
 
 def _by_reach(series: DataFrame) -> DataFrame:
@@ -524,7 +524,7 @@ def q_lineage_documents(spark, d):
 def _traced_key(L: Layers) -> str:
     """The most copied plotted key as pasted text, with stray marks around it
     (one value; empty when nothing is plotted)."""
-    row = trace.most_copied_plotted_key(L.bronze, L.series).first()
+    row = trace.most_copied_in_one_pass(L.bronze, AS_OF_SERIES).first()
     return f" {{{row['reading_id']}}} " if row else ""
 
 
@@ -535,7 +535,7 @@ def q_trace_by_id(spark, d):
 
 def q_trace_records(spark, d):
     """The bronze copies of one literal key."""
-    L = layers(spark, d)
+    L = layers(spark, d, materialize=False)
     return trace.trace_records(L.bronze, _traced_key(L))
 
 
@@ -574,7 +574,7 @@ def q_lineage_record_order(spark, d):
 
 def q_trace_record_order(spark, d):
     """The bronze copies of one literal key in the order in which a trace shows them."""
-    L = layers(spark, d)
+    L = layers(spark, d, materialize=False)
     return with_positions(trace.trace_records(L.bronze, _traced_key(L)), "trace-order")
 
 

@@ -102,3 +102,18 @@ def test_lineage_prunes_bronze_dates(spark):
     assert any("dt#" in f and "Subquery" in f for f in filters)
     same = lineage.lineage_flat(b, s, series)
     assert flat.exceptAll(same).count() == 0 and same.exceptAll(flat).count() == 0
+
+
+def test_trace_builds_no_layer(spark):
+    """A literal key reaches the events scan side of every layer: silver is deduped for the key alone."""
+    from gaugeflow.operators import trace
+    from gaugeflow.plans.catalog import AS_OF_SERIES, layers
+
+    L = layers(spark, "/root/testdata/sf0.001", materialize=False)
+    same = trace.most_copied_plotted_key(L.bronze, L.series).first()
+    assert trace.most_copied_in_one_pass(L.bronze, AS_OF_SERIES).first() == same
+    found = trace.trace_by_id(L.bronze, L.silver, L.series, same["reading_id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Window ")[1:]
+    assert above and all(f"= {same['reading_id']}" in part for part in above)
+    assert found.count() == 1
