@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gaugeflow.functions.keys import mint_reading_id
 from gaugeflow.functions.timefns import to_ntz
 from gaugeflow.functions.values import try_double
-from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver, trace
+from gaugeflow.operators import backtest, checks, dashboard, forecast, gold, ingest, lineage, metrics, silver, trace
 from gaugeflow.operators.asof import asof_every, asof_lag
 from gaugeflow.session import materialize as materialize_table
 from gaugeflow.session import scratch_path
@@ -31,6 +31,7 @@ REFLAG_THRESHOLD = 30.0
 PRIMARY_STATION = "7"
 NEWEST_N = 10
 MONTH_FIT_HOURS = 720
+DOCUMENT_POINTS = 5
 
 
 @dataclass
@@ -709,6 +710,39 @@ def q_bronze_window_run_date(spark, d):
     return w.select("reading_id", "measure", "date_time", try_double("value").alias("value"), "_ingested_at")
 
 
+def q_forecast_backtest(spark, d):
+    """The trend at every instant of the series, and the forecast made six hours before it."""
+    r = backtest.backtest(_by_reach(series_table(spark, d)), group="reach")
+    return r.withColumn("slope", F.round("slope", 9))
+
+
+def q_dashboard_documents(spark, d):
+    """The station documents written as JSON lines in small chunks, decoded field by field."""
+    s = series_table(spark, d)
+    docs = dashboard.station_documents(s, forecast.forecast_points(s, fit_hours=MONTH_FIT_HOURS), chunk_points=DOCUMENT_POINTS)
+    path = scratch_path(spark, "dashboard")
+    docs.write.option("ignoreNullFields", "false").json(path)
+    read = spark.read.schema(docs.schema).json(path)
+    head = ["station_reference", "chunk", "chunks", "forecast_method"]
+    seen = read.select(*head, "first_position", F.posexplode("series").alias("at", "p")).select(
+        *head, F.lit("observed").alias("kind"), (F.col("first_position") + F.col("at")).alias("position"), "p.date_time_utc", "p.value", "p.reading_id"
+    )
+    ahead = read.select(*head, F.posexplode("forecast").alias("at", "p")).select(
+        *head, "p.kind", F.col("at").cast("long").alias("position"), "p.date_time_utc", "p.value", F.lit(None).cast("string").alias("reading_id")
+    )
+    return seen.unionByName(ahead)
+
+
+def q_trace_sql(spark, d):
+    """The table function over the catalog's views, called in SQL with a bound parameter."""
+    from gaugeflow.sources import views
+
+    b = _one_measure_per_station(derived.bronze(spark, d))
+    row = trace.most_copied_in_one_pass(b, AS_OF_SERIES).first()
+    views.register_catalog(spark, _published_root(spark, d), prefix="gaugeflow_")
+    return spark.sql("SELECT * FROM gaugeflow_trace(:rid)", args={"rid": f" {{{row['reading_id']}}} " if row else ""})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -783,4 +817,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "test_stats": q_test_stats,
     "lineage_run_date": q_lineage_run_date,
     "bronze_window_run_date": q_bronze_window_run_date,
+    "forecast_backtest": q_forecast_backtest,
+    "dashboard_documents": q_dashboard_documents,
+    "trace_sql": q_trace_sql,
 }

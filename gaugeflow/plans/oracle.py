@@ -9,7 +9,7 @@ only to check the Spark results.
 
 from __future__ import annotations
 
-from gaugeflow.config import ATTRIBUTION
+from gaugeflow.config import ATTRIBUTION, FORECAST_METHOD
 
 BASE = r"""
 WITH ev AS (
@@ -538,6 +538,39 @@ _SQL["layer_views"] = _ONE_MEASURE + """SELECT 'gold_station_latest' AS view, co
 _SQL["heartbeat"] = f"""SELECT '2024-01-30T00:00:00Z' AS last_run_utc, count(*) AS rows, CAST(1440 AS BIGINT) AS age_minutes, true AS stale,
        'stale' AS health_status FROM ({_SQL["ingest_run"]})"""
 _q("test_stats", "SELECT tests_passed, tests_total FROM dq_summary", DQ)
+_q(
+    "forecast_backtest",
+    """, pts AS (SELECT CAST(CAST(station_reference AS BIGINT) % 4 AS VARCHAR) AS reach, date_time_utc, value, reading_id FROM series),
+     instants AS (SELECT reach, date_time_utc, arg_max(value, reading_id) AS value FROM pts GROUP BY reach, date_time_utc),
+     trend AS (
+       SELECT i.reach, i.date_time_utc, i.value, count(*) AS n_recent,
+         CASE WHEN count(*) >= 4 AND count(DISTINCT p.date_time_utc) > 1
+              THEN regr_slope(p.value, (epoch_us(p.date_time_utc) - epoch_us(i.date_time_utc)) / 1e6) END AS slope
+       FROM instants i JOIN pts p ON p.reach = i.reach AND p.date_time_utc <= i.date_time_utc
+         AND p.date_time_utc >= i.date_time_utc - INTERVAL 12 HOUR
+       GROUP BY i.reach, i.date_time_utc, i.value),
+     told AS (
+       SELECT t.*, m.date_time_utc AS made, (epoch_us(t.date_time_utc) - epoch_us(m.date_time_utc)) / 1e6 AS ds,
+         m.value + m.slope * ds * pow(0.97, ds / 900) AS said
+       FROM (SELECT *, date_time_utc - INTERVAL 6 HOUR AS bound FROM trend) t
+       ASOF LEFT JOIN trend m ON t.reach = m.reach AND t.bound >= m.date_time_utc),
+     near AS (SELECT *, made >= bound - INTERVAL 1 HOUR AND said IS NOT NULL AS ok FROM told)
+     SELECT reach, date_time_utc, value, n_recent, round(slope, 9) AS slope, CASE WHEN ok THEN made END AS made_at,
+       CASE WHEN ok THEN round(said, 3) END AS predicted, CASE WHEN ok THEN round(value - said, 3) END AS error FROM near""",
+)
+_q(
+    "dashboard_documents",
+    f""", placed AS (
+       SELECT *, row_number() OVER (PARTITION BY station_reference ORDER BY date_time_utc, reading_id) - 1 AS position,
+         CAST(ceil(count(*) OVER (PARTITION BY station_reference) / 5) AS INTEGER) AS chunks FROM series)
+     SELECT station_reference, CAST(position // 5 AS INTEGER) AS chunk, chunks, '{FORECAST_METHOD}' AS forecast_method, 'observed' AS kind,
+       position, strftime(date_time_utc, '%Y-%m-%d %H:%M:%S') AS date_time_utc, value, reading_id FROM placed
+     UNION ALL
+     SELECT f.reach, 0, p.chunks, '{FORECAST_METHOD}', f.kind, f.k - 1, strftime(f.date_time_utc, '%Y-%m-%d %H:%M:%S'), f.value, NULL
+     FROM fc f JOIN placed p ON p.station_reference = f.reach AND p.position = 0""",
+    _forecast("station_reference", 720),
+)
+_SQL["trace_sql"] = _SQL["trace_one"].replace(_MEASURE, "AS measure")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.config import BRONZE_EXPORT_DAYS
-from gaugeflow.operators import checks, forecast, gold, ingest, lineage, metrics, silver
+from gaugeflow.operators import checks, dashboard, forecast, gold, ingest, lineage, metrics, silver
 from gaugeflow.plans import publish as pub
 from gaugeflow.sources import derived
 from gaugeflow.sources.meta import INGEST_META, read_json_or_nulls
@@ -106,8 +106,10 @@ def run_pipeline(
         "series": series.select("station_reference", "station_label", "date_time_utc", "value", "reading_id"),
         "series_extent": metrics.series_extent(series),
         "run_meta": pub.run_meta_document(meta),
+        "dashboard": dashboard.station_documents(series, fc),
     }
-    pub.write_artifacts(artifacts, folder, formats={"run_meta": "json", "stations": "json", "forecast": "json", "series": "json"})
+    documents = ("run_meta", "stations", "forecast", "series", "dashboard")
+    pub.write_artifacts(artifacts, folder, formats=dict.fromkeys(documents, "json"))
     pub.write_text(spark, f"{folder}/dashboard_header.json", json.dumps(pub.dashboard_header()))
     published = pub.publish(spark, root, run_id, bool(summary["publishable"]))
     return RunResult(run_id, folder, published, summary)
