@@ -19,6 +19,7 @@ from gaugeflow.operators import backtest, checks, dashboard, forecast, gold, ing
 from gaugeflow.operators.asof import asof_every, asof_lag
 from gaugeflow.session import materialize as materialize_table
 from gaugeflow.session import scratch_path
+from gaugeflow.sinks.tables import save_bucketed
 from gaugeflow.sources import derived
 
 # FIXED VALUES: clocks and parameters of the registered queries.
@@ -40,7 +41,7 @@ class Layers:
     dim: DataFrame
     silver: DataFrame
     series: DataFrame
-    latest: DataFrame
+    latest: DataFrame | None
 
 
 def layers(spark: SparkSession, sf_dir: str, materialize: bool = True, materialize_latest: bool = False) -> Layers:
@@ -743,6 +744,25 @@ def q_trace_sql(spark, d):
     return spark.sql("SELECT * FROM gaugeflow_trace(:rid)", args={"rid": f" {{{row['reading_id']}}} " if row else ""})
 
 
+def bucketed_layers(spark: SparkSession, sf_dir: str, prefix: str = "gaugeflow_bucketed_", buckets: int | None = None) -> Layers:
+    """Bronze, silver and series as catalog tables that share one bucketing on the key."""
+    base = scratch_path(spark, "bucketed")
+
+    def saved(df: DataFrame, name: str) -> DataFrame:
+        return save_bucketed(df, f"{prefix}{name}", f"{base}/{name}", buckets=buckets)
+
+    b = saved(derived.bronze(spark, sf_dir), "bronze")
+    s = saved(silver.build_silver(b, with_build_stamp=False), "silver")
+    series = saved(gold.gold_series(s, AS_OF_SERIES), "series")
+    return Layers(b, derived.stations(spark, sf_dir), s, series, None)
+
+
+def q_lineage_bucketed(spark, d):
+    """Lineage over bucketed tables, silver built from bucketed bronze: no exchange on the key."""
+    L = bucketed_layers(spark, d)
+    return lineage.lineage_flat(L.bronze, L.silver, L.series)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mint_reading_id": q_mint_reading_id,
     "bronze_copies": q_bronze_copies,
@@ -820,4 +840,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_backtest": q_forecast_backtest,
     "dashboard_documents": q_dashboard_documents,
     "trace_sql": q_trace_sql,
+    "lineage_bucketed": q_lineage_bucketed,
 }

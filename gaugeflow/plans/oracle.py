@@ -570,6 +570,7 @@ _q(
      FROM fc f JOIN placed p ON p.station_reference = f.reach AND p.position = 0""",
     _forecast("station_reference", 720),
 )
+_SQL["lineage_bucketed"] = _SQL["lineage_flat"]
 _SQL["trace_sql"] = _SQL["trace_one"].replace(_MEASURE, "AS measure")
 
 

@@ -1,15 +1,20 @@
 """Gated, last-known-good publish.
 
 Artifacts of a run are written under ``<root>/versions/<run_id>/``; only when
-the checks allow it is the pointer ``<root>/CURRENT`` replaced (written to a
-temporary name and renamed through the Hadoop FileSystem API). Readers
-resolve the pointer, so they see either the previous complete version or the
-new complete one — never a half-written folder, and a failed run leaves the
-last good version in place. No path is ever overwritten while it is read.
+the checks allow it is a pointer ``<root>/published/<number>-<run_id>`` added, an
+empty file that says all in its name. The newest pointer (largest number, then
+run id) is the published version. Readers resolve it, so they see either the previous
+complete version or the new complete one — never a half-written folder, and a
+failed run leaves the last good version in place. No path is ever overwritten.
+
+Writers need no lock, rename or conditional write: each adds a name of its own, so two
+that publish at once may take one number, but neither replaces the other's pointer, both versions stay
+in the log, and all readers agree on which is newer. Creating an empty file is one step in every file system.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +22,9 @@ from pyspark.sql import functions as F
 
 from gaugeflow.config import ATTRIBUTION, FORECAST_METHOD, PIPELINE_STAGES
 
-POINTER = "CURRENT"
+POINTERS = "published"
+#: Where roots published by earlier releases keep their pointer.
+OLD_POINTER = "CURRENT"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,9 +80,19 @@ def version_path(root: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/versions/{run_id}"
 
 
+def published_log(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """``(number, run_id)`` of every publish that is kept, oldest first."""
+    p, fs = _fs(spark, f"{root.rstrip('/')}/{POINTERS}")
+    if not fs.exists(p):
+        return []
+    named = (re.fullmatch(r"(\d+)-(.+)", f.getPath().getName()) for f in fs.listStatus(p))
+    return sorted((int(m[1]), m[2]) for m in named if m)
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Folder of the published version, or None before the first publish."""
-    run_id = read_text(spark, f"{root.rstrip('/')}/{POINTER}")
+    log = published_log(spark, root)
+    run_id = log[-1][1] if log else read_text(spark, f"{root.rstrip('/')}/{OLD_POINTER}")
     return version_path(root, run_id.strip()) if run_id else None
 
 
@@ -103,6 +120,15 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
     for f in folders[keep:]:
         if current is None or f.getPath().getName() != current.rsplit("/", 1)[-1]:
             fs.delete(f.getPath(), True)
+    left = {f.getPath().getName() for f in fs.listStatus(p)}
+    for number, run_id in published_log(spark, root)[:-1]:
+        if run_id not in left:
+            pointer, _ = _fs(spark, _pointer(root, number, run_id))
+            fs.delete(pointer, False)
+
+
+def _pointer(root: str, number: int, run_id: str) -> str:
+    return f"{root.rstrip('/')}/{POINTERS}/{number:012d}-{run_id}"
 
 
 def read_published(spark: SparkSession, root: str, artifact: str, fmt: str = "parquet") -> DataFrame:
@@ -140,9 +166,11 @@ def write_artifacts(
 
 
 def publish(spark: SparkSession, root: str, run_id: str, publishable: bool) -> bool:
-    """Flip the pointer to ``run_id`` when allowed; returns whether it did."""
+    """Add the pointer to ``run_id`` when allowed; returns whether it did."""
     if publishable:
-        write_text(spark, f"{root.rstrip('/')}/{POINTER}", run_id)
+        log = published_log(spark, root)
+        pointer, fs = _fs(spark, _pointer(root, log[-1][0] + 1 if log else 1, run_id))
+        fs.create(pointer, False).close()
     return publishable
 
 
