@@ -2,8 +2,8 @@
 
 payload scan → flatten (key minted) → configured stations only → readings
 strictly after ``since`` → stamp → append to bronze by reading date → heartbeat and ingest
-metadata. Rows are counted in the batch's own folders (a partition filter), not
-in all of bronze; both documents are written even when no row arrived, and no
+metadata. Rows are counted by the write itself (an ``Observation``), so nothing
+is read back; both documents are written even when no row arrived, and no
 reading is left out of append-only bronze.
 """
 
@@ -14,13 +14,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from gaugeflow.functions.timefns import batch_name
-from gaugeflow.schemas import BRONZE
 from gaugeflow.sinks.landing import land_bronze, write_heartbeat, write_ingest_meta
 from gaugeflow.sources import dims, payloads
-from gaugeflow.sources.meta import path_exists
 
 
 @dataclass
@@ -34,15 +30,6 @@ def _iso(ts: datetime) -> str:
     return ts.strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def batch_rows(spark: SparkSession, bronze_root: str, run_text: str) -> int:
-    """Rows that one batch landed; 0 when it landed none."""
-    if not path_exists(spark, bronze_root):
-        return 0
-    schema = StructType([*BRONZE.fields, StructField("dt", DateType()), StructField("batch", StringType())])
-    landed = spark.read.schema(schema).parquet(bronze_root)
-    return landed.where(F.col("batch") == batch_name(F.lit(run_text))).count()
-
-
 def ingest_run(
     spark: SparkSession,
     payload_path: str,
@@ -66,8 +53,7 @@ def ingest_run(
         flat = dims.pinned_stations(flat, refs)
     # exclusive lower bound on the reading time; rows without a time are kept (silver drops them)
     recent = flat.where(F.col("date_time").isNull() | (F.col("date_time").cast("timestamp_ntz") > F.lit(since).cast("timestamp_ntz")))
-    land_bronze(recent, bronze_root, run_text, by=layout)
-    rows = batch_rows(spark, bronze_root, run_text)
+    rows = land_bronze(recent, bronze_root, run_text, by=layout)
     write_heartbeat(spark, bronze_root, run_text, rows, f"batch={run_text}")
     if meta_path:
         n_stations = stations.select("station_reference").distinct().count() if stations is not None else len(refs)

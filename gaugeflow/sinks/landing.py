@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.config import ATTRIBUTION
@@ -22,13 +22,16 @@ from gaugeflow.sources.documents import read_documents
 from gaugeflow.streaming.bronze_stream import write_bronze_batch
 
 
-def land_bronze(df: DataFrame, root: str, run_ts_text: str, by: str = "reading") -> None:
+def land_bronze(df: DataFrame, root: str, run_ts_text: str, by: str = "reading") -> int:
     """Stamp a batch and append it under ``dt`` (reading date, or run date
-    with ``by='run'``) and ``batch``. Rows without a reading time land in the
+    with ``by='run'``) and ``batch``; returns the rows written, counted by the
+    write itself. Rows without a reading time land in the
     default (null) date partition instead of being lost."""
     typed = df.withColumn("value", F.col("value").cast("string"))
     stamped = with_partition_columns(stamp_batch(typed, run_ts_text), run_ts_text, by=by)
-    write_bronze_batch(stamped, root)
+    written = Observation()
+    write_bronze_batch(stamped, root, written)
+    return int(written.get.get("rows") or 0)
 
 
 def write_heartbeat(spark: SparkSession, root: str, run_ts_text: str, rows: int, blob: str) -> None:

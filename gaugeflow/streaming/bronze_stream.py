@@ -15,7 +15,7 @@ with dynamic partition overwrite. A micro-batch holds whole files, so it holds w
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.timefns import batch_name, iso_z
@@ -39,12 +39,16 @@ def stamp_from_file(df: DataFrame) -> DataFrame:
     )
 
 
-def write_bronze_batch(batch: DataFrame, bronze_root: str) -> None:
+def write_bronze_batch(batch: DataFrame, bronze_root: str, written: Observation | None = None) -> None:
     """Dynamic overwrite of exactly the ``(dt, batch)`` partitions present. Rows
-    are clustered by folder first (a large folder is split by AQE)."""
+    are clustered by folder first (a large folder is split by AQE). ``written``
+    observes ``rows`` behind that shuffle, in the stage that writes, where
+    a task that ran again counts once."""
+    rows = batch.hint("rebalance", "dt", "batch")
+    if written is not None:
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     (
-        batch.hint("rebalance", "dt", "batch")
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt", "batch")
         .parquet(bronze_root)

@@ -55,6 +55,19 @@ def test_empty_ingest_writes_its_documents(spark):
     assert m.rows_ingested == 0 and m.last_ingest_utc == "2026-06-14T12:00:00Z"
 
 
+def test_rows_are_counted_by_the_write(spark):
+    from gaugeflow.sinks import landing
+
+    root = f"{tempfile.mkdtemp(prefix='gf-count-')}/bronze"
+    times = [f"2026-06-{d:02d}T00:00:00Z" for d in (1, 1, 2, 3)] + [None]
+    rows = spark.createDataFrame([(f"r{i}", "4009", t, float(i)) for i, t in enumerate(times)], "reading_id string, station_reference string, date_time string, value double")
+    assert landing.land_bronze(rows, root, "2026-06-14T18:00:00Z") == 5
+    assert landing.land_bronze(rows.filter("value < 2"), root, "2026-06-14T21:00:00Z", by="run") == 2
+    assert landing.land_bronze(rows.limit(0), root, "2026-06-15T00:00:00Z") == 0
+    assert landing.land_bronze(rows, root, "2026-06-14T18:00:00Z") == 5  # a retry counts its own rows
+    assert spark.read.parquet(root).count() == 7
+
+
 def test_documents_over_lines_and_per_line(spark):
     from gaugeflow.sources import payloads
 
