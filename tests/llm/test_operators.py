@@ -218,7 +218,7 @@ def test_ngram_large_groups_and_blocks(spark, monkeypatch):
     vocabulary = [f"w{i}" for i in range(80)]
     texts = near_copies(rng, rng.choices(vocabulary, k=60), 160, 12) + near_copies(rng, rng.choices(vocabulary, k=50), 40, 3)
     rows = list(enumerate(texts))
-    for name, value in (("PAIRED", 4), ("BLOCK_CODES", 900), ("ORDERED_CODES", 1500), ("SLAB_CODES", 2000), ("BROADCAST_ROWS", 0)):
+    for name, value in (("PAIRED", 4), ("BLOCK_CODES", 900), ("ORDERED_CODES", 1500), ("SLAB_CODES", 2000), ("BROADCAST_BYTES", 0)):
         monkeypatch.setattr(ngram_join, name, value)
     got = sorted((tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
     assert got == plain_components(rows)
@@ -248,6 +248,22 @@ def test_ngram_pairs_are_sure_by_any_shared_code():
     assert ngram_join._bucket_edges(packed, 80).to_pylist() == [{"a": 101, "b": 100, "sure": True}]
 
 
+def test_ngram_thinned_entries_stand_for_any_size():
+    """One entry of a common code links to sets of all sizes, and chains of a slab are a forest."""
+    entries = [(1, 100, 20, -1), (1, 101, 50, 0), (1, 102, 300, 7), (1, 103, 301, 290), (2, 104, 10, 0), (2, 105, 90, 0)]
+    packed = pa.table({"entries": pa.array([np.array(entries, np.int64).tobytes()], pa.binary()), "edges": pa.array([b""], pa.binary())})
+    assert ngram_join._bucket_edges(packed, 80).to_pylist() == [{"a": x, "b": 100, "sure": True} for x in (101, 102, 103)]
+    sets = ngram_join.PAIRED + 9
+    code = np.concatenate((np.full(sets, 7), np.full(sets, 8), [9, 9])).astype(np.uint64)
+    fp = np.concatenate((np.arange(sets), np.arange(sets), [500, 501])) + 1000
+    code, fp, size, pos, edges = ngram_join._thinned(code, fp, fp % 40 + 5, np.zeros(len(fp), np.int64))
+    assert code.tolist() == [7, 8, 9, 9] and (pos < 0).tolist() == [True, True, False, False]
+    assert sorted(edges[:, 0].tolist()) == list(range(1001, 1000 + sets)) and set(edges[:, 1].tolist()) == {1000}
+    dealt = ngram_join._dealt(edges[:, 0].view(np.uint64), edges, 5)
+    assert sorted(dealt) == [0, 1, 2, 3, 4]
+    assert all((ngram_join._unpack(pa.array([x], pa.binary()), 2)[:, 0] % 5 == k).all() for k, x in dealt.items())
+
+
 def test_histogram_bound_never_excludes_a_link():
     rng = np.random.default_rng(8)
     for _ in range(300):
@@ -296,6 +312,7 @@ def test_every_label_is_learnt(spark, monkeypatch):
     assert got == dict(enumerate(own))
     monkeypatch.setattr(language, "DENSE_KEYS", 0)
     monkeypatch.setattr(language, "SPARSE_KEYS", 16)
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 7)
     sparse = language.learn(frame, small)
     assert sparse.languages == full.languages
     assert (sparse.scores == full.scores).all() and (sparse.scripts == full.scripts).all()
@@ -482,6 +499,28 @@ def test_targets_are_water_filled(spark):
         assert got == pytest.approx(want)
 
 
+def test_sums_before_a_row_over_ranges(spark):
+    rng = random.Random(16)
+    names = [None, *{rng.randbytes(3).hex() for _ in range(400)}]
+    rows = spark.createDataFrame([(n, rng.randint(0, 9)) for n in names], "name string, n long")
+    got = curriculum.before(rows, [F.col("name").asc_nulls_last()], {"first": F.lit(1), "sum": F.col("n")}).collect()
+    size, want, total = {r["name"]: r["n"] for r in got}, {}, 0
+    for i, name in enumerate(sorted(n for n in names if n) + [None]):
+        want[name] = (i, total)
+        total += size[name]
+    assert {r["name"]: (r["first"], r["sum"]) for r in got} == want
+
+
+def test_mix_is_the_same_in_buckets_of_any_size(spark, monkeypatch):
+    frame = docs_frame(spark, [(i, "w " * (i * 7 % 23), "en", "ab"[i % 3 == 0]) for i in range(300)])
+    plans = [sorted(map(tuple, curriculum.plan(frame).collect()))]
+    monkeypatch.setattr(curriculum, "BUCKET_ROWS", 1)
+    plans.append(sorted(map(tuple, curriculum.plan(frame).collect())))
+    assert plans[0] == plans[1]
+    starts = sorted((r[1], r[8], r[2]) for r in plans[0] if r[2])
+    assert all(b[1] == a[1] + a[2] for a, b in zip(starts, starts[1:]) if a[0] == b[0])
+
+
 def test_mix(spark):
     rng = random.Random(15)
     rows = [(i if i % 97 else None, " ".join(["w"] * rng.randint(0, 30)), "en", rng.choice(["a", "b", "b", "b", "c", None])) for i in range(900)]
