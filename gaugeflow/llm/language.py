@@ -8,13 +8,15 @@ language labels the words. Runs of equal labels are the spans.
 
 Learning counts hashed n-grams over all training rows in Spark: each batch adds
 into tables (sparse ones for many languages), the tables are summed by cell, and
-the model (``cells`` x languages) is collected. Every label that occurs is
+the model (``cells`` x languages) is collected, a range of languages at a time. Every label that occurs is
 learnt; a model over ``model_bytes`` raises an error, so the broadcast is bounded.
 
 Defined cases: null text, empty text and text without letters are ``und`` with
 score 0 and no spans; letters of a script in no training text keep all
 languages as candidates; ties go to the label first in code-point order; a
-corpus without any training row predicts ``und`` everywhere. Long texts are
+corpus without any training row predicts ``und`` everywhere; an empty table
+gives no rows. Repeated rows teach and are labelled each. Columns of the input named
+``lang_pred``, ``score`` or ``spans`` give way to the operator's own. Long texts are
 worked whole; memory follows the batch or the longest text.
 """
 
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeflow.llm.base import materialize
 
 UNKNOWN = "und"
 #: First code points of script ranges and their scripts (0: other letters).
@@ -67,6 +70,7 @@ class Model:
 DENSE_KEYS = 1 << 24  # (language, cell) keys that a task counts in a full table
 SPARSE_KEYS = 1 << 21  # counted keys that a task holds before it hands them on
 HANDED = 1 << 20  # rows of a batch of counts
+LANGUAGES_AT_ONCE = 32  # whose counts come to the driver together (20 bytes x cells each)
 _tables: dict = {}
 
 
@@ -217,19 +221,19 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> Model:
         yield from handed()
 
     sums = rows.mapInArrow(count, "kind int, lang int, cell int, n long").groupBy("kind", "lang", "cell").agg(F.sum("n").alias("n"))
-    # Bounded: cells x languages rows, whatever the corpus.
-    got = sums.toPandas().sort_values("lang", kind="stable")
+    # cells x languages rows, whatever the corpus; those of LANGUAGES_AT_ONCE come to the driver together.
+    sums = materialize(sums.repartitionByRange("lang"), "gram-counts")
     scripts = np.zeros((len(_unicode()["names"]), len(languages)))
-    own = got[got["kind"] == 1]
-    scripts[own["cell"].to_numpy(), own["lang"].to_numpy()] = own["n"].to_numpy()
-    own = got[got["kind"] == 0]
-    cell, n = own["cell"].to_numpy(), own["n"].to_numpy()
-    stops = np.searchsorted(own["lang"].to_numpy(), np.arange(len(languages) + 1))
-    scores = np.zeros((settings.cells, len(languages)), np.float32)
-    for k in range(len(languages)):  # one language at a time in doubles
-        grams = np.full(settings.cells, settings.smoothing)
-        grams[cell[stops[k] : stops[k + 1]]] += n[stops[k] : stops[k + 1]]
-        scores[:, k] = np.log(grams / grams.sum())
+    scores = np.full((settings.cells, len(languages)), -np.log(settings.cells), np.float32)  # as without any letter
+    for k in range(0, len(languages), LANGUAGES_AT_ONCE):
+        got = sums.filter((F.col("lang") >= k) & (F.col("lang") < k + LANGUAGES_AT_ONCE)).toPandas()
+        own = got[got["kind"] == 1]
+        scripts[own["cell"].to_numpy(), own["lang"].to_numpy()] = own["n"].to_numpy()
+        own = got[got["kind"] == 0]
+        for lang, one in own.groupby("lang"):
+            grams = np.full(settings.cells, settings.smoothing)
+            grams[one["cell"].to_numpy()] += one["n"].to_numpy()
+            scores[:, lang] = np.log(grams / grams.sum())
     share = scripts / np.maximum(scripts.sum(0, keepdims=True), 1)
     return Model(languages, scores, share >= settings.script_share)
 
