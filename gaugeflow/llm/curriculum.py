@@ -14,19 +14,21 @@ every document; the last, partial one takes those whose midpoint lies before the
 remainder, so a source is off its target by half a document at most.
 
 Scale: a source is never gathered: running sums are taken inside
-(source, hash prefix) buckets and offset by the buckets' totals. The tables
-of sources and buckets are written first, so a hot source's join is
-split by AQE.
+(source, hash prefix) buckets of about ``BUCKET_ROWS`` rows and offset by the buckets' totals. Sums over
+buckets and over sources are running sums over ranges (``before``), so neither a
+source's buckets nor all sources meet in one task; the driver sees a row count
+and three totals. The tables of sources and buckets are written first, so a
+hot source's join is split by AQE.
 
 Defined cases: null or empty texts have size 0 and are not taken; null ids
-sort as the empty string; repeated rows are separate documents; a null source
+sort as the empty string; repeated rows are separate documents; texts of any length are counted whole; a null source
 is a source; an empty table gives no rows. Clashing column names in the
 input are kept out: only doc_id, source and text are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,24 +39,42 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: Rate knots (time, rate) of each weight: early, level and late sources.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 0.75), (1.0, 2.0)))
 MAX_REPEATS = 3
+#: Rows of a hash bucket, about, if one source held all rows.
+BUCKET_ROWS = 1 << 14
+
+
+def before(rows: DataFrame, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
+    """``rows`` and, under each name of ``sums``, the sum over all rows that stand
+    earlier in ``order`` (which has no ties): sums inside ranges, plus
+    those of the earlier ranges (one row for each range meets in one task)."""
+    ranged = rows.withColumns(dict(sums)).repartitionByRange(*order)
+    ranged = materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(*[F.sum(name).alias(name) for name in sums])
+    starts = totals.select("_range", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_{name}") for name in sums])
+    summed = ranged.withColumns({name: F.coalesce(F.sum(name).over(inside), F.lit(0)) for name in sums}).join(starts, "_range")
+    return summed.withColumns({name: F.col(name) + F.col(f"_{name}") for name in sums}).drop("_range", *[f"_{name}" for name in sums])
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``source, source_size, turn, weight, target`` from ``source, source_size``
-    (one row per source; the windows run over that small table)."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(order) - 1) % len(weights)
-    s = sizes.withColumn("turn", turn).withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("turn") + 1))
+    (one row per source)."""
+    s = before(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], {"turn": F.lit(1)})
+    s = s.withColumn("turn", (F.col("turn") % len(weights)).cast("int"))
+    s = s.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("turn") + 1))
     s = s.withColumn("cap", F.col("source_size") * F.lit(float(max_repeats)))
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    s = s.withColumns({"full": F.coalesce(F.sum("cap").over(before), F.lit(0.0)), "used": F.coalesce(F.sum("weight").over(before), F.lit(0.0))})
-    level = (F.sum("source_size").over(whole) - F.col("full")) / (F.sum("weight").over(whole) - F.col("used"))
+    ratio = F.col("cap") / F.col("weight")
+    order = [ratio, F.col("source").asc_nulls_last()]
+    s = materialize(before(s, order, {"full": F.col("cap"), "used": F.col("weight")}), "mix-sources")
+    size, weight = s.agg(F.sum("source_size").cast("double"), F.sum("weight")).first()
+    if size is None:
+        return s.select("source", "source_size", "turn", "weight", F.col("cap").alias("target"))
     # The first source, by ratio, whose cap is not below the level sets it.
-    s = s.withColumn("level", F.when(F.col("cap") / F.col("weight") >= level, level))
-    s = s.withColumn("level", F.first("level", ignorenulls=True).over(by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    target = F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))
+    level = (F.lit(size) - F.col("full")) / (F.lit(weight) - F.col("used"))
+    first = F.struct(ratio.alias("ratio"), F.col("source").isNull().alias("none"), "source", level.alias("level"))
+    found = s.filter(ratio >= level).agg(F.min(first).alias("first")).first()["first"]
+    target = F.col("cap") if found is None else F.least(F.col("cap"), F.lit(found["level"]) * F.col("weight"))
     return s.select("source", "source_size", "turn", "weight", target.alias("target"))
 
 
@@ -91,17 +111,21 @@ def plan(
     columns of ``keep``."""
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *keep)
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = rows.withColumn("hash", order).withColumn("bucket", F.substring("hash", 1, 3))
     # Source as a never-null key.
-    rows = rows.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+    rows = rows.withColumn("hash", order).withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
     rows = materialize(rows, "mix-rows")
-    parts = materialize(rows.groupBy("key", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("part")), "mix-parts")
-    sizes = parts.groupBy("key").agg(F.first("source").alias("source"), F.sum("part").alias("source_size"))
-    goals = targets(sizes.drop("key"), weights, max_repeats)
+    count, digits = rows.count(), 1  # digits of the hash in a bucket's name
+    while count >> (4 * digits) > BUCKET_ROWS:
+        digits += 1
+    rows = rows.withColumn("bucket", F.substring("hash", 1, digits))
+    parts = rows.groupBy("key", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("part"))
+    parts = materialize(before(parts, [F.col("key"), F.col("bucket")], {"offset": F.col("part")}), "mix-parts")
+    sizes = materialize(parts.groupBy("key").agg(F.first("source").alias("source"), F.sum("part").alias("source_size"), F.min("offset").alias("base")), "mix-sizes")
+    goals = targets(sizes, weights, max_repeats)
     goals = goals.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source")
-    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("key", "bucket", F.coalesce(F.sum("part").over(before), F.lit(0)).alias("offset"))
-    offsets = materialize(offsets.join(goals, "key"), "mix-offsets")
+    goals = materialize(goals.join(sizes.select("key", "base"), "key"), "mix-goals")
+    offsets = parts.select("key", "bucket", "offset").join(goals, "key").withColumn("offset", F.col("offset") - F.col("base")).drop("base")
+    offsets = materialize(offsets, "mix-offsets")
     inside = Window.partitionBy("key", "bucket").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("upto", F.sum("size").over(inside)).join(offsets, ["key", "bucket"])
     start = (F.col("offset") + F.col("upto") - F.col("size")).cast("double")
