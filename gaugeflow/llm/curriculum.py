@@ -40,7 +40,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 0.75), (1.0, 2.0)))
 MAX_REPEATS = 3
 #: Rows of a hash bucket, about, if one source held all rows.
-BUCKET_ROWS = 1 << 14
+BUCKET_ROWS = 1 << 10
 
 
 def before(rows: DataFrame, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
