@@ -38,7 +38,7 @@ _STEP_INV = pow(_STEP, -1, 1 << 64)
 SEAMS_KEPT = 1 << 21
 SEAM_BITS = 21
 SEAM_SLOTS = 1 << SEAM_BITS
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 
 
 @dataclass
@@ -321,7 +321,7 @@ def encode_batch(texts: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarra
     parts_ids, parts_unit = [], []
     for size in np.unique(u_len[u_known]):
         own = np.flatnonzero(u_known & (u_len == size))
-        step = max(1, (1 << 21) // (int(size) * min(int(size), table.longest)))
+        step = max(1, (1 << 20) // (int(size) * min(int(size), table.longest)))
         for a in range(0, len(own), step):
             block = own[a : a + step]
             ids, rows = solve(points[u_start[block][:, None] + np.arange(size)[None, :]].astype(np.uint32), table)
