@@ -9,15 +9,18 @@ begin in one split and end in another. Cutting works like a prefix scan:
    starts outside of one). Relative to the split's own start, the lowest depth it
    reaches is where documents end: text between two such ends is a whole
    document, text before the first is the rest of a document that began earlier, text
-   behind the last is the start of one. Beside these pieces a split yields one row of
-   facts, its change of depth and its lowest depth.
+   behind the last is the start of one. Pieces leave the task as they are cut, with the
+   lowest depth known by then; a later line may show that it was not the lowest, so a
+   split also yields one row of facts, its change of depth and its lowest depth.
 2. Running sums of the changes over the splits of a file (narrow rows) give the depth at
    which each split starts, which confirms its cuts: it has to be minus
    the lowest depth, or higher where the whole split lies inside one document.
-3. The pieces at split borders are joined to documents; all others are whole already.
+3. Pieces cut at the lowest depth of a confirmed split are documents. The others, which lie
+   at split borders, are joined to documents.
 
-Text is read once and written once (the pieces); only border pieces are shuffled. A task holds
-at most one split, and a row one document. A file whose brackets do not close, with text
+Text is read once and written once (the pieces); only border pieces are shuffled. A Python
+worker holds a block of lines (``BLOCK`` bytes) and the document it is in, whatever the size
+of the split, and a row one document. A file whose brackets do not close, with text
 outside documents, or with a document that does not parse, raises an error that names it.
 """
 
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,12 +47,22 @@ for _c, _k in ((b'"', _QUOTE), (b"\\", _ESCAPE), (b"\n", _LINE), (b"{[", _OPEN),
     for _b in _c:
         _KIND[_b] = _k
 
-PIECES = "file string, modified timestamp, start long, seq long, role string, body binary, change long, lowest long, broken boolean"
+PIECES = "file string, modified timestamp, start long, seq long, role string, body binary, level long, change long, lowest long, broken boolean"
+
+# FIXED: bytes of text that a worker looks at together (the arrays over it take some 15 times as much).
+BLOCK = 1 << 20
 
 
 def brackets(text: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
     """Positions and steps (+1 / -1) of the brackets outside strings, and whether
     a line ends inside a string."""
+    at, step, broken, inside = _brackets(text, False)
+    return at, step, broken or inside
+
+
+def _brackets(text: bytes, inside: bool) -> tuple[np.ndarray, np.ndarray, bool, bool]:
+    """The same of a text that starts ``inside`` a string or outside: a line break
+    inside a string, and whether the text ends inside of one."""
     kind = _KIND[np.frombuffer(text, np.uint8)]
     at = np.flatnonzero(kind)
     kind = kind[at]
@@ -61,14 +75,29 @@ def brackets(text: bytes) -> tuple[np.ndarray, np.ndarray, bool]:
         before = np.searchsorted(escapes, at[quote]) - 1
         held = (before >= 0) & (escapes[before] == at[quote] - 1) & ((before - first[before]) % 2 == 0)
         quote[np.flatnonzero(quote)[held]] = False
-    count = np.cumsum(quote)
+    count = np.cumsum(quote) + inside
     line = kind == _LINE
     seen = np.where(line, count, 0)
     base = np.maximum.accumulate(np.concatenate(([0], seen))) if len(seen) else np.zeros(1, np.int64)
-    inside = ((count - base[:-1]) & 1).astype(bool)
-    open_end = bool(inside[line].any()) or bool(len(count) and (count[-1] - base[-1]) & 1)
-    structural = (kind >= _OPEN) & ~inside
-    return at[structural], np.where(kind[structural] == _OPEN, 1, -1), open_end
+    quoted = ((count - base[:-1]) & 1).astype(bool)
+    structural = (kind >= _OPEN) & ~quoted
+    open_end = bool((count[-1] - base[-1]) & 1) if len(count) else inside
+    return at[structural], np.where(kind[structural] == _OPEN, 1, -1), bool(quoted[line].any()), open_end
+
+
+def _blocks(lines: pa.Array) -> Iterator[bytes]:
+    """The lines with their ends in texts of about ``BLOCK`` bytes. A longer line comes
+    in parts, none of which starts behind a backslash."""
+    block = np.cumsum(pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64) + 1) // BLOCK
+    edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(lines)]
+    for a, b in zip(edges, edges[1:]):
+        text, last = b"\n".join(lines.slice(a, b - a).to_pylist()) + b"\n", 0
+        while last < len(text):
+            end = last + BLOCK if len(text) - last > 2 * BLOCK else len(text)
+            while end < len(text) and text[end - 1] == 92:
+                end += 1
+            yield text if (last, end) == (0, len(text)) else text[last:end]
+            last = end
 
 
 class _Split:
@@ -77,15 +106,12 @@ class _Split:
     def __init__(self, file: str, modified, start: int):
         self.file, self.modified, self.start = file, modified, start
         self.depth = self.lowest = self.seq = 0
-        self.broken = False
-        self.whole: list[bytes] = []  # documents, as far as known
-        self.head: list[bytes] = []  # what belongs to a document begun earlier
+        self.broken = self.inside = False
         self.rest: list[bytes] = []  # text behind the last end
 
-    def add(self, lines: list[bytes]) -> None:
-        text = b"\n".join(lines)
-        at, step, open_end = brackets(text)
-        self.broken |= open_end
+    def add(self, text: bytes) -> Iterator[tuple]:
+        at, step, broken, self.inside = _brackets(text, self.inside)
+        self.broken |= broken
         depth = self.depth + np.cumsum(step)
         last = 0
         if len(at):
@@ -96,70 +122,62 @@ class _Split:
             elif lowest < self.lowest:
                 # Deeper out than known: all text so far belongs to the earlier document.
                 first = int(at[closing & (depth == lowest)][0]) + 1
-                self.head = [*self.head, *self.whole, *self.rest, text[:first]]
-                self.whole, self.rest, last = [], [], first
                 self.lowest = lowest
-            for end in at[closing & (depth == self.lowest)]:
+                yield self._row("head", b"".join([*self.rest, text[:first]]), level=lowest)
+                self.rest, last = [], first
+            for end in at[closing & (depth == self.lowest)].tolist():
                 if end < last:
                     continue
-                self.whole.append(b"\n".join([*self.rest, text[last : end + 1]]).strip())
-                self.rest, last = [], int(end) + 1
+                yield self._row("document", b"".join([*self.rest, text[last : end + 1]]).strip(), level=self.lowest)
+                self.rest, last = [], end + 1
             self.depth = int(depth[-1])
         tail = text[last:]
         if self.rest or tail.strip():
             self.rest.append(tail)
 
-    def _row(self, role: str, body: bytes | None, **facts) -> dict:
-        self.seq += 1
-        return {"file": self.file, "modified": self.modified, "start": self.start, "seq": self.seq, "role": role, "body": body,
-                "change": None, "lowest": None, "broken": None, **facts}
-
-    def settled(self) -> Iterator[dict]:
-        """Documents that no later line can change (at a file's start)."""
-        if self.start == 0:
-            yield from self._documents()
-
-    def _documents(self) -> Iterator[dict]:
-        for body in self.whole:
-            yield self._row("document", body)
-        self.whole = []
-
-    def rows(self) -> Iterator[dict]:
-        if self.head:
-            yield self._row("head", b"\n".join(self.head))
-        yield from self._documents()
+    def end(self) -> Iterator[tuple]:
         if any(r.strip() for r in self.rest):
-            yield self._row("tail", b"\n".join(self.rest))
+            yield self._row("tail", b"".join(self.rest).removesuffix(b"\n"))
         yield self._row("facts", None, change=self.depth, lowest=self.lowest, broken=self.broken)
 
+    def _row(self, role: str, body: bytes | None, level=None, change=None, lowest=None, broken=None) -> tuple:
+        self.seq += 1
+        return self.file, self.modified, self.start, self.seq, role, body, level, change, lowest, broken
+
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of the splits whose lines come in order: file, modified, start, value."""
     schema = None
     split: _Split | None = None
+    rows = lambda out: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
     for batch in batches:
         schema = pa.schema(
             [("file", pa.string()), ("modified", batch.schema.field(1).type), ("start", pa.int64()), ("seq", pa.int64()), ("role", pa.string()),
-             ("body", pa.binary()), ("change", pa.int64()), ("lowest", pa.int64()), ("broken", pa.bool_())]
+             ("body", pa.binary()), ("level", pa.int64()), ("change", pa.int64()), ("lowest", pa.int64()), ("broken", pa.bool_())]
         )
         file, start = batch.column(0).dictionary_encode(), batch.column(2).to_numpy(zero_copy_only=False)
         code = file.indices.to_numpy(zero_copy_only=False)
         edges = [0, *(np.flatnonzero((np.diff(code) != 0) | (np.diff(start) != 0)) + 1).tolist(), batch.num_rows]
-        out: list[dict] = []
+        out: list[tuple] = []
+        held = 0
         for a, b in zip(edges, edges[1:]):
             if a == b:
                 continue
             name = file.dictionary[int(code[a])].as_py()
             if split is None or (split.file, split.start) != (name, int(start[a])):
                 if split is not None:
-                    out += split.rows()
+                    out += split.end()
                 split = _Split(name, batch.column(1)[a].as_py(), int(start[a]))
-            split.add(batch.column(3).slice(a, b - a).cast(pa.binary()).to_pylist())
-            out += split.settled()
+            for text in _blocks(batch.column(3).slice(a, b - a).cast(pa.binary())):
+                out += split.add(text)
+                held += len(text)
+                if out and held >= BLOCK:
+                    yield rows(out)
+                    out, held = [], 0
         if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
+            yield rows(out)
     if split is not None:
-        yield pa.RecordBatch.from_pylist(list(split.rows()), schema)
+        yield rows(list(split.end()))
 
 
 def text_lines(lines: DataFrame) -> DataFrame:
@@ -193,13 +211,15 @@ def cut_documents(lines: DataFrame) -> DataFrame:
     )
     refuse(splits.where("broken OR total <> 0 OR depth + lowest < 0"))
 
-    inside = splits.where("depth + lowest > 0").select("file", "start", F.lit(True).alias("inside"))
-    cut = pieces.where("role <> 'facts'").join(inside, ["file", "start"], "left")
-    document = (F.col("role") == "document") & F.col("inside").isNull()
+    # The level at which documents of a split end; null where it lies inside one.
+    outside = splits.select("file", "start", F.expr("CASE WHEN depth + lowest = 0 THEN lowest END").alias("outside"))
+    cut = pieces.where("role <> 'facts'").join(outside, ["file", "start"], "left")
+    closes = F.col("level").eqNullSafe(F.col("outside"))
+    document = (F.col("role") == "document") & closes
     refuse(cut.where(document & ~F.col("valid")))
-    # Border pieces: at most two a split, and all pieces of a split inside one document.
+    # Border pieces: what a split holds before its first end and behind its last, and all pieces of a split inside one document.
     in_order = Window.partitionBy("file").orderBy("start", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    ends = F.when((F.col("role") == "head") & F.col("inside").isNull(), 1).otherwise(0)
+    ends = F.when((F.col("role") == "head") & closes, 1).otherwise(0)
     numbered = cut.where(~document).withColumn("number", F.coalesce(F.sum(ends).over(in_order), F.lit(0)))
     parts = F.sort_array(F.collect_list(F.struct("start", "seq", json.alias("json"))))
     joined = numbered.groupBy("file", "modified", "number").agg(F.array_join(F.transform(parts, lambda p: p["json"]), "\n").alias("json"))

@@ -4,7 +4,9 @@ import json
 import os
 import random
 import tempfile
+from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
 from gaugeflow.sources import documents
@@ -97,3 +99,66 @@ def test_a_broken_file_is_named_even_when_nothing_is_selected(spark):
     empty = tempfile.mkdtemp(prefix="gf-docs-")
     open(f"{empty}/none.json", "w").close()
     assert documents.read_documents(spark, empty).collect() == []
+
+
+def line_batches(texts, start: int):
+    """Batches as a worker gets them, one a list of lines, and how many it has taken."""
+    taken = []
+
+    def batches():
+        for lines in texts:
+            taken.append(len(lines))
+            n = len(lines)
+            yield pa.record_batch([pa.array(["f"] * n), pa.array([datetime(2026, 6, 14)] * n), pa.array([start] * n), pa.array(lines)], ["file", "modified", "start", "value"])
+
+    return batches(), taken
+
+
+@pytest.mark.parametrize("start", [0, 12])
+def test_a_worker_does_not_hold_its_split(start):
+    """Also behind a file's start, where a later line may show that a cut was none, pieces
+    leave before the next batch is read."""
+    lines = [['{"a": [' + str(i) + '], "b": "' + "x" * 200 + '"}' for i in range(1000)] for _ in range(30)]
+    batches, taken = line_batches(lines, start)
+    seen = 0
+    for piece in documents._cut(batches):
+        seen += piece.column(4).to_pylist().count("document")
+        assert piece.nbytes < 3 << 20
+        assert seen >= 1000 * (len(taken) - 1)
+    assert seen == 30_000
+
+
+def test_a_cut_that_a_later_batch_disproves():
+    """The split starts two levels deep: what ends at the first level is no document."""
+    lines = [['1}, {"i": 2}, {"i": 3}'], [', {"i": 4}', "]"], ["}", '{"a": [{"i": 5}]}'], ['{"b": 6}', "{"]]
+    rows = [r for b in documents._cut(line_batches(lines, 7)[0]) for r in b.to_pylist()]
+    facts = rows.pop()
+    assert (facts["role"], facts["lowest"], facts["change"], facts["broken"]) == ("facts", -3, -2, False)
+    ends = [r["seq"] for r in rows if r["role"] == "head" and r["level"] == -3]
+    assert [r["body"] for r in rows if r["role"] == "document" and r["level"] == -3] == [b'{"a": [{"i": 5}]}', b'{"b": 6}']
+    before = b"".join(r["body"] for r in rows if r["seq"] <= ends[0])
+    assert len(ends) == 1 and before.replace(b"\n", b"").replace(b" ", b"") == b'1},{"i":2},{"i":3},{"i":4}]}'
+    assert (rows[-1]["role"], rows[-1]["body"].strip()) == ("tail", b"{")
+
+
+def test_long_lines_are_looked_at_in_parts(monkeypatch):
+    rng = random.Random(9)
+    for size in (1, 2, 7, 30):
+        monkeypatch.setattr(documents, "BLOCK", size)
+        for _ in range(100):
+            docs = [some_document(rng) for _ in range(rng.randint(1, 6))]
+            lines = [json.dumps({"d": d, "s": "\\" * rng.randint(0, 5)}) + " " * rng.randint(0, 3) for d in docs]
+            parts = list(documents._blocks(pa.array([x.encode() for x in lines], pa.binary())))
+            assert b"".join(parts).decode() == "".join(x + "\n" for x in lines)
+            found, at, inside = [], 0, False
+            for part in parts:
+                where, step, broken, inside = documents._brackets(part, inside)
+                found += [(at + int(w), int(s)) for w, s in zip(where, step)]
+                at += len(part)
+                assert not broken
+            assert found == plain_brackets(b"".join(parts).decode("latin-1"))[0] and not inside
+
+
+def test_documents_cut_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(documents, "BLOCK", 24)
+    test_documents_of_any_layout_and_split(spark, 300)
