@@ -162,3 +162,28 @@ def test_long_lines_are_looked_at_in_parts(monkeypatch):
 def test_documents_cut_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(documents, "BLOCK", 24)
     test_documents_of_any_layout_and_split(spark, 300)
+
+
+def peak_bytes(texts, start: int) -> int:
+    """Most that Python and numpy hold at once while the lines are cut."""
+    import tracemalloc
+
+    batches, _ = line_batches(texts, start)
+    tracemalloc.start()
+    try:
+        for _ in documents._cut(batches):
+            pass
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_worker_does_not_grow_with_its_split():
+    batch = lambda b: ['{"a": [' + str(b * 5000 + i) + '], "b": "' + "x" * 200 + '"}' for i in range(5000)]
+    small, large = (peak_bytes((batch(b) for b in range(n)), 12) for n in (4, 32))
+    assert large < 1.3 * small
+
+
+def test_memory_of_a_long_line_is_a_few_times_its_text():
+    line = '{"items": [' + ", ".join('{"v": [%d]}' % i for i in range(400_000)) + "]}"
+    assert peak_bytes([[line]], 0) < 8 * len(line)
